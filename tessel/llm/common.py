@@ -17,6 +17,7 @@ SPACE = r" \t-\r"
 PIECE_BYTES = 1 << 21
 MASK = (1 << 64) - 1
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _scratch: dict[str, tuple[SparkSession, list[str]]] = {}
 
 
@@ -32,9 +33,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def save(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: writes ``df`` to the shared scratch folder and reads it back."""
+    """Cuts the lineage: writes ``df`` to the shared scratch folder and reads it back. The query's shuffle files go at its end."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
     return out

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessel.llm.common import discard, free_shuffles, map_batches, row_of, save, stream_by_shard, windows, word_hashes
+from tessel.llm.common import discard, free_shuffles, map_batches, mix, row_of, save, stream_by_shard, windows, word_hashes
 
 WINDOW, GRAM, SHARD_PHRASES = 13, 4, 40_000
 
@@ -31,26 +31,20 @@ def minimizers(h: np.ndarray, rows: np.ndarray, window: int, gram: int) -> tuple
     return at, least[at]
 
 
-def _binary(rows: np.ndarray) -> pa.Array:
-    n, width = rows.shape
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(rows))])
-
-
-def phrase_keys(h: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
-    """For each window its words as 32-bit letters of an automaton, and a hash of the whole: the bytes of a phrase."""
-    letters = (h >> np.uint64(32)).astype(np.uint32)
-    body = np.lib.stride_tricks.sliding_window_view(letters, window)[at]
-    return np.concatenate((body.view(np.uint8), windows(h, window)[at].reshape(-1, 1).view(np.uint8)), 1)
+def _shard_of(owner: np.ndarray, shards: int) -> np.ndarray:
+    return ((mix(owner.view(np.uint64)) >> np.uint64(16)) % np.uint64(shards)).astype(np.int32)
 
 
 def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, shard_phrases: int = SHARD_PHRASES) -> DataFrame:
     """``docs`` (doc_id, text) -> (doc_id, kept_text, n_words, n_removed): words in a window that a smaller doc_id has too are gone.
 
-    1. Every window of ``window`` words is represented by the least hash of its grams, which copies of the
+    1. Texts that equal one with a smaller doc_id go whole, and take no further part.
+    2. Every window of ``window`` words is represented by the least hash of its grams, which copies of the
        window share; hashes in two documents or more name the places where passages may repeat.
-    2. Only there, windows become phrases; those found in two documents are confirmed, with their first one.
-    3. Phrases go to shards by the first document of their hash, so a document meets few shards; each shard's
-       automaton runs over all documents that have one of its hashes and reports every place.
+    3. Only there, windows are counted by their own hashes; those found in two documents are confirmed, and
+       their first document hands in the passages that they make up.
+    4. Passages go to shards by the first document of their hash, so a document meets few shards; each
+       shard's automaton runs over all documents that have one of its hashes and reports every place.
 
     Null text has no words and its kept text is empty, as for empty text. Rows without doc_id come neither
     before nor after others, so they keep their words and cost nobody any; rows that repeat a doc_id do not
@@ -59,7 +53,11 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int =
     """
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    named = named.withColumn("t", F.struct(F.xxhash64("text").alias("x"), F.xxhash64(F.lit(1), "text").alias("y")))
+    texts = named.where("doc_id is not null").select("doc_id", "t").distinct()
+    firsts = texts.groupBy("t").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("t", "first")
+    copies = save(texts.join(firsts, "t").where("doc_id > first").select("doc_id", "t"), "copies")
 
     def emit(batch: pa.RecordBatch) -> pa.RecordBatch:
         h, rows = word_hashes(batch.column("text"))
@@ -70,60 +68,89 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int =
 
     prints = save(map_batches(named.where("doc_id is not null").select("doc_id", "text"), emit, "fp long, doc_id long"), "prints")
     shared = prints.groupBy("fp").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").drop("last")
-    met = save(prints.join(shared, "fp").groupBy("doc_id").agg(F.collect_set(F.struct("fp", "owner")).alias("met")), "met")
+    met = prints.join(shared, "fp").groupBy("doc_id").agg(F.collect_set(F.struct("fp", "owner")).alias("met"))
+    met = save(met.join(copies.groupBy("doc_id").agg(F.collect_set("t").alias("copied")), "doc_id", "left"), "met")
     discard(prints)
     free_shuffles(spark)
     n = met.select(F.sum(F.size("met"))).first()[0] or 0
     shards = max(1, -(-n * (window - gram + 1) // 2 // shard_phrases))
-    repeated = save(named.join(met, "doc_id"), "repeated")
+    repeated = named.join(met, "doc_id").where(~F.coalesce(F.array_contains("copied", F.col("t")), F.lit(False)))
+    repeated = save(repeated.drop("copied"), "repeated")
     discard(met)
     free_shuffles(spark)
 
-    def phrases(batch: pa.RecordBatch) -> pa.RecordBatch:
+    def located(batch: pa.RecordBatch) -> tuple:
+        """Words, rows, and the windows whose hash is shared: first word, row, shard."""
         h, rows = word_hashes(batch.column("text"))
         at, least = minimizers(h, rows, window, gram)
-        met = batch.column("met")
+        met, row = batch.column("met"), row_of(rows)[at]
         many = np.asarray(pa.compute.list_value_length(met))
         fp, owner = (np.asarray(met.flatten().field(x)) for x in ("fp", "owner"))
-        row = row_of(rows)[at]
         known = _lookup(np.repeat(np.arange(len(many)), many), fp.view(np.uint64), row, least)
         hit = known >= 0
-        shard = (owner[known[hit]].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)) % np.uint64(shards)
-        return pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), _binary(phrase_keys(h, at[hit], window) if hit.any() else np.zeros((0, 4 * window + 8), np.uint8)), batch.column("doc_id").take(pa.array(row[hit]))], ["shard", "phrase", "doc_id"])
-
-    found = map_batches(repeated.select("doc_id", "text", "met"), phrases, "shard int, phrase binary, doc_id long")
-    confirmed = found.groupBy("shard", "phrase").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last")
-    confirmed = save(confirmed, "phrases")
+        return h, at[hit], row[hit], _shard_of(owner[known[hit]], shards)
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        h, at, row, _ = located(batch)
+        w, v = (windows(h, window, seed)[at] if len(at) else h[:0] for seed in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array((v >> np.uint64(32)).astype(np.uint32).view(np.int32)), batch.column("doc_id").take(pa.array(row))], ["w", "v", "doc_id"])
+
+    found = map_batches(repeated.select("doc_id", "text", "met"), count, "w long, v int, doc_id long")
+    confirmed = found.groupBy("w", "v").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    own = save(confirmed.groupBy(F.col("first").alias("doc_id")).agg(F.collect_list("w").alias("own")), "confirmed")
+
+    def hand_in(batch: pa.RecordBatch) -> pa.RecordBatch:
+        h, at, row, shard = located(batch)
+        own = batch.column("own")
+        many = np.asarray(pa.compute.list_value_length(own))
+        w = windows(h, window)[at] if len(at) else h[:0]
+        sure = _lookup(np.repeat(np.arange(len(many)), many), np.asarray(own.flatten()).view(np.uint64), row, w) >= 0
+        at, row, shard = at[sure], row[sure], shard[sure]
+        new = np.concatenate(([True], (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1]) | (shard[1:] != shard[:-1]))) if len(at) else np.zeros(0, bool)
+        begin = np.flatnonzero(new)
+        end = np.concatenate((begin[1:], [len(at)]))[: len(begin)] - 1
+        passages = [h[at[a] : at[b] + window].tobytes() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(shard[begin]), pa.array(passages, pa.binary()), batch.column("doc_id").take(pa.array(row[begin]))], ["shard", "passage", "first"])
+
+    passages = map_batches(repeated.join(own, "doc_id").select("doc_id", "text", "met", "own"), hand_in, "shard int, passage binary, first long")
+    confirmed = save(passages, "passages")
+    discard(own)
     free_shuffles(spark)
 
     def run(groups: Iterator) -> Iterator[pa.RecordBatch]:
         for _, entries, batches in groups:
             if entries is not None:
-                automaton = compile_phrases(entries, window)
+                automaton = compile_passages(entries, window)
                 for batch in batches:
                     yield _places(batch, automaton, window)
 
     def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
         met = batch.column("met")
         owner = np.asarray(met.flatten().field("owner"))
-        shard = ((owner.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)) % np.uint64(shards)).astype(np.int64)
+        shard = _shard_of(owner, shards).astype(np.int64)
         row = np.repeat(np.arange(batch.num_rows), np.asarray(pa.compute.list_value_length(met)))
         pairs = np.unique(np.stack([row, shard], 1), axis=0) if len(row) else np.zeros((0, 2), np.int64)
         take = pa.array(pairs[:, 0])
         size = pa.compute.binary_length(batch.column("text")).cast(pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 1].astype(np.int32)), size.take(take), *(batch.column(c).take(take) for c in ("doc_id", "t", "text"))], ["shard", "size", "doc_id", "t", "text"])
 
-    dealt = map_batches(repeated.select("doc_id", "t", "text", "met"), deal, "shard int, size long, doc_id long, t long, text string")
-    places = stream_by_shard(confirmed, dealt, run, "doc_id long, t long, starts array<int>", partitions)
-    gone = save(places.groupBy("doc_id", "t").agg(F.flatten(F.collect_set("starts")).alias("starts")), "places")
+    dealt = map_batches(repeated.select("doc_id", "t", "text", "met"), deal, "shard int, size long, doc_id long, t struct<x:long,y:long>, text string")
+    places = stream_by_shard(confirmed, dealt, run, "doc_id long, t struct<x:long,y:long>, starts array<int>", partitions)
+    gone = places.groupBy("doc_id", "t").agg(F.flatten(F.collect_set("starts")).alias("starts"), F.lit(False).alias("whole"))
+    gone = save(gone.where(F.size("starts") > 0).unionByName(copies.select("doc_id", "t", F.array().cast("array<int>").alias("starts"), F.lit(True).alias("whole"))), "places")
     discard(repeated, confirmed)
     free_shuffles(spark)
-    marked = named.join(gone, ["doc_id", "t"], "left").select("doc_id", "text", "starts")
+    marked = named.join(gone, ["doc_id", "t"], "left").select("doc_id", "text", "starts", F.coalesce("whole", F.lit(False)).alias("whole"))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, counts, removed = [], [], []
-        for text, starts in zip(batch.column("text").to_pylist(), batch.column("starts"), strict=True):
+        for text, starts, whole in zip(batch.column("text").to_pylist(), batch.column("starts"), batch.column("whole").to_pylist(), strict=True):
             w = text.encode().split()
+            if whole and len(w) >= window:
+                counts.append(len(w))
+                removed.append(len(w))
+                texts.append("")
+                continue
             gone = np.zeros(len(w) + 1, np.int64)
             if starts.is_valid and len(starts.values):
                 s = np.unique(np.asarray(starts.values))
@@ -156,14 +183,19 @@ def _lookup(rows_a: np.ndarray, a: np.ndarray, rows_b: np.ndarray, b: np.ndarray
     return out
 
 
-def compile_phrases(entries: pa.Table, window: int) -> ahocorasick.Automaton:
-    """An automaton over 32-bit letters; a phrase's value maps the hash of the whole window to its first document."""
+def compile_passages(entries: pa.Table, window: int) -> ahocorasick.Automaton:
+    """An automaton over 32-bit letters, the words of each window of each passage; its value maps the hash of the whole window to its first document."""
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    values: dict[bytes, dict[int, int]] = {}
-    for phrase, first in zip(entries.column("phrase").to_pylist(), entries.column("first").to_pylist(), strict=True):
-        values.setdefault(phrase[: 4 * window], {})[int.from_bytes(phrase[4 * window :], "little")] = first
-    for letters, value in values.items():
-        automaton.add_word(tuple(np.frombuffer(letters, np.uint32).tolist()), value)
+    for passage, first in zip(entries.column("passage").to_pylist(), entries.column("first").to_pylist(), strict=True):
+        h = np.frombuffer(passage, np.uint64)
+        letters, whole = (h >> np.uint64(32)).tolist(), windows(h, window).tolist()
+        for i in range(len(h) - window + 1):
+            key = tuple(letters[i : i + window])
+            value = automaton.get(key, None)
+            if value is None:
+                automaton.add_word(key, {whole[i]: first})
+            else:
+                value[whole[i]] = min(first, value.get(whole[i], first))
     automaton.make_automaton()
     return automaton
 
