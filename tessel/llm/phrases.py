@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessel.llm.common import discard, free_shuffles, map_batches, mix, row_of, save, stream_by_shard, windows, word_hashes
 
-WINDOW, GRAM, SHARD_PHRASES = 13, 4, 40_000
+WINDOW, GRAM, SHARD_PHRASES = 13, 7, 100_000
 
 
 def minimizers(h: np.ndarray, rows: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
@@ -44,7 +44,8 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int =
     3. Only there, windows are counted by their own hashes; those found in two documents are confirmed, and
        their first document hands in the passages that they make up.
     4. Passages go to shards by the first document of their hash, so a document meets few shards; each
-       shard's automaton runs over all documents that have one of its hashes and reports every place.
+       shard's automaton runs over every stretch of every document that has its hashes (no other can hold a
+       confirmed phrase) and reports every place.
 
     Null text has no words and its kept text is empty, as for empty text. Rows without doc_id come neither
     before nor after others, so they keep their words and cost nobody any; rows that repeat a doc_id do not
@@ -72,15 +73,13 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int =
     met = save(met.join(copies.groupBy("doc_id").agg(F.collect_set("t").alias("copied")), "doc_id", "left"), "met")
     discard(prints)
     free_shuffles(spark)
-    n = met.select(F.sum(F.size("met"))).first()[0] or 0
-    shards = max(1, -(-n * (window - gram + 1) // 2 // shard_phrases))
     repeated = named.join(met, "doc_id").where(~F.coalesce(F.array_contains("copied", F.col("t")), F.lit(False)))
     repeated = save(repeated.drop("copied"), "repeated")
     discard(met)
     free_shuffles(spark)
 
     def located(batch: pa.RecordBatch) -> tuple:
-        """Words, rows, and the windows whose hash is shared: first word, row, shard."""
+        """Words, rows, and the windows whose hash is shared: first word, row, first document of the hash."""
         h, rows = word_hashes(batch.column("text"))
         at, least = minimizers(h, rows, window, gram)
         met, row = batch.column("met"), row_of(rows)[at]
@@ -88,10 +87,10 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int =
         fp, owner = (np.asarray(met.flatten().field(x)) for x in ("fp", "owner"))
         known = _lookup(np.repeat(np.arange(len(many)), many), fp.view(np.uint64), row, least)
         hit = known >= 0
-        return h, at[hit], row[hit], _shard_of(owner[known[hit]], shards)
+        return h, rows, at[hit], row[hit], owner[known[hit]]
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
-        h, at, row, _ = located(batch)
+        h, _, at, row, _ = located(batch)
         w, v = (windows(h, window, seed)[at] if len(at) else h[:0] for seed in (0, 1))
         return pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array((v >> np.uint64(32)).astype(np.uint32).view(np.int32)), batch.column("doc_id").take(pa.array(row))], ["w", "v", "doc_id"])
 
@@ -99,18 +98,25 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int =
     confirmed = found.groupBy("w", "v").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     own = save(confirmed.groupBy(F.col("first").alias("doc_id")).agg(F.collect_list("w").alias("own")), "confirmed")
 
+    phrases = own.select(F.sum(F.size("own"))).first()[0] or 0
+    shards = max(1, -(-phrases // shard_phrases))
+
+    def runs(h: np.ndarray, at: np.ndarray, row: np.ndarray, owner: np.ndarray) -> tuple[pa.Array, pa.Array, np.ndarray]:
+        """Stretches of consecutive windows of a shard: the shard, the words' hashes, and the first window's index in ``at``."""
+        shard = _shard_of(owner, shards)
+        new = np.concatenate(([True], (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1]) | (shard[1:] != shard[:-1]))) if len(at) else np.zeros(0, bool)
+        begin = np.flatnonzero(new)
+        end = np.concatenate((begin[1:], [len(at)]))[: len(begin)] - 1
+        return pa.array(shard[begin]), pa.array([h[at[a] : at[b] + window].tobytes() for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.binary()), begin
+
     def hand_in(batch: pa.RecordBatch) -> pa.RecordBatch:
-        h, at, row, shard = located(batch)
+        h, _, at, row, owner = located(batch)
         own = batch.column("own")
         many = np.asarray(pa.compute.list_value_length(own))
         w = windows(h, window)[at] if len(at) else h[:0]
         sure = _lookup(np.repeat(np.arange(len(many)), many), np.asarray(own.flatten()).view(np.uint64), row, w) >= 0
-        at, row, shard = at[sure], row[sure], shard[sure]
-        new = np.concatenate(([True], (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1]) | (shard[1:] != shard[:-1]))) if len(at) else np.zeros(0, bool)
-        begin = np.flatnonzero(new)
-        end = np.concatenate((begin[1:], [len(at)]))[: len(begin)] - 1
-        passages = [h[at[a] : at[b] + window].tobytes() for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(shard[begin]), pa.array(passages, pa.binary()), batch.column("doc_id").take(pa.array(row[begin]))], ["shard", "passage", "first"])
+        shard, words, begin = runs(h, at[sure], row[sure], owner[sure])
+        return pa.RecordBatch.from_arrays([shard, words, batch.column("doc_id").take(pa.array(row[sure][begin]))], ["shard", "passage", "first"])
 
     passages = map_batches(repeated.join(own, "doc_id").select("doc_id", "text", "met", "own"), hand_in, "shard int, passage binary, first long")
     confirmed = save(passages, "passages")
@@ -120,21 +126,17 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int =
     def run(groups: Iterator) -> Iterator[pa.RecordBatch]:
         for _, entries, batches in groups:
             if entries is not None:
-                automaton = compile_passages(entries, window)
+                automaton, first = compile_passages(entries, window)
                 for batch in batches:
-                    yield _places(batch, automaton, window)
+                    yield _places(batch, automaton, first, window)
 
     def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
-        met = batch.column("met")
-        owner = np.asarray(met.flatten().field("owner"))
-        shard = _shard_of(owner, shards).astype(np.int64)
-        row = np.repeat(np.arange(batch.num_rows), np.asarray(pa.compute.list_value_length(met)))
-        pairs = np.unique(np.stack([row, shard], 1), axis=0) if len(row) else np.zeros((0, 2), np.int64)
-        take = pa.array(pairs[:, 0])
-        size = pa.compute.binary_length(batch.column("text")).cast(pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 1].astype(np.int32)), size.take(take), *(batch.column(c).take(take) for c in ("doc_id", "t", "text"))], ["shard", "size", "doc_id", "t", "text"])
-
-    dealt = map_batches(repeated.select("doc_id", "t", "text", "met"), deal, "shard int, size long, doc_id long, t struct<x:long,y:long>, text string")
+        h, rows, at, row, owner = located(batch)
+        shard, words, begin = runs(h, at, row, owner)
+        take = pa.array(row[begin])
+        return pa.RecordBatch.from_arrays([shard, pa.compute.binary_length(words).cast(pa.int64()), *(batch.column(c).take(take) for c in ("doc_id", "t")), pa.array(at[begin] - rows[:-1][row[begin]]), words], ["shard", "size", "doc_id", "t", "start", "words"])
+
+    dealt = map_batches(repeated.select("doc_id", "t", "text", "met"), deal, "shard int, size long, doc_id long, t struct<x:long,y:long>, start long, words binary")
     places = stream_by_shard(confirmed, dealt, run, "doc_id long, t struct<x:long,y:long>, starts array<int>", partitions)
     gone = places.groupBy("doc_id", "t").agg(F.flatten(F.collect_set("starts")).alias("starts"), F.lit(False).alias("whole"))
     gone = save(gone.where(F.size("starts") > 0).unionByName(copies.select("doc_id", "t", F.array().cast("array<int>").alias("starts"), F.lit(True).alias("whole"))), "places")
@@ -183,36 +185,28 @@ def _lookup(rows_a: np.ndarray, a: np.ndarray, rows_b: np.ndarray, b: np.ndarray
     return out
 
 
-def compile_passages(entries: pa.Table, window: int) -> ahocorasick.Automaton:
-    """An automaton over 32-bit letters, the words of each window of each passage; its value maps the hash of the whole window to its first document."""
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+def compile_passages(entries: pa.Table, window: int) -> tuple[ahocorasick.Automaton, dict[int, int]]:
+    """An automaton over 32-bit letters, the words of each window of each passage; and the first document by the hash of a whole window."""
+    automaton, firsts = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE), {}
     for passage, first in zip(entries.column("passage").to_pylist(), entries.column("first").to_pylist(), strict=True):
         h = np.frombuffer(passage, np.uint64)
         letters, whole = (h >> np.uint64(32)).tolist(), windows(h, window).tolist()
         for i in range(len(h) - window + 1):
-            key = tuple(letters[i : i + window])
-            value = automaton.get(key, None)
-            if value is None:
-                automaton.add_word(key, {whole[i]: first})
-            else:
-                value[whole[i]] = min(first, value.get(whole[i], first))
+            automaton.add_word(tuple(letters[i : i + window]), 1)
+            firsts[whole[i]] = min(first, firsts.get(whole[i], first))
     automaton.make_automaton()
-    return automaton
-
-
-def _places(batch: pa.RecordBatch, automaton: ahocorasick.Automaton, window: int) -> pa.RecordBatch:
-    h, rows = word_hashes(batch.column("text"))
-    letters = (h >> np.uint64(32)).tolist()
-    whole = windows(h, window) if len(h) else h
-    ids, starts = batch.column("doc_id").to_pylist(), []
-    for r, doc in enumerate(ids):
-        a, b = int(rows[r]), int(rows[r + 1])
-        own = []
-        if b - a >= window:
-            for end, value in automaton.iter(tuple(letters[a:b])):
-                s = end - window + 1
-                first = value.get(int(whole[a + s]))
-                if first is not None and first < doc:
-                    own.append(s)
-        starts.append(own)
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("t"), pa.array(starts, pa.list_(pa.int32()))], ["doc_id", "t", "starts"])
+    return automaton, firsts
+
+
+def _places(batch: pa.RecordBatch, automaton: ahocorasick.Automaton, firsts: dict[int, int], window: int) -> pa.RecordBatch:
+    found = []
+    for doc, start, words in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "words")), strict=True):
+        h = np.frombuffer(words, np.uint64)
+        whole, own = windows(h, window), []
+        for end, _ in automaton.iter(tuple((h >> np.uint64(32)).tolist())):
+            s = end - window + 1
+            first = firsts.get(int(whole[s]))
+            if first is not None and first < doc:
+                own.append(start + s)
+        found.append(own)
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("t"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "t", "starts"])
