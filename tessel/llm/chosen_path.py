@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tessel.llm.common import discard, free_shuffles, map_batches, save, windows, word_hashes
 
 SHINGLE, PERCENT, RECALL = 5, 80, 0.99999
-COORDINATES, BRANCHES, FIRST_DEPTH, SMALL_NODE, MAX_DEPTH = 64, 2, 2, 12, 24
+COORDINATES, BRANCHES, FIRST_DEPTH, SUBTREES = 64, 2, 2, 4
+SMALL_NODE, CROWD, CROWD_SHINGLES, MAX_DEPTH = 12, 2048, 1 << 22, 40
 SLACK = 0.2  # of agreement below the threshold: over four standard deviations of 64 coordinates
 
 _A = np.random.default_rng(11).integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -63,9 +64,20 @@ def trees_for(recall: float, percent: int) -> int:
 
 
 def branch(rows: DataFrame) -> DataFrame:
-    """(node, sid, doc, least, ...) one level down: the node's hash selects coordinates, and their minwise tokens name the children."""
+    """(node, sid, least, ...) one level down: the node's hash selects coordinates, and their minwise tokens name the children."""
     chosen = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(BRANCHES)), lambda j: F.pmod(F.xxhash64("node", j), F.lit(COORDINATES)).cast("int"))))
-    return rows.withColumn("c", chosen).withColumn("node", F.xxhash64("node", "c", F.get("least", F.col("c")))).drop("c")
+    return _child(rows.withColumn("c", chosen))
+
+
+def branch_slowly(rows: DataFrame, percent: int) -> DataFrame:
+    """The same with 100 / ``percent`` children on average, so that pairs below the threshold thin out with depth."""
+    second = F.when(F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(percent)) < 100 - percent, 2).otherwise(1)
+    chosen = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), second), lambda j: F.pmod(F.xxhash64("node", j), F.lit(COORDINATES)).cast("int"))))
+    return _child(rows.withColumn("c", chosen))
+
+
+def _child(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("node", F.xxhash64("node", "c", F.get("least", F.col("c")))).drop("c")
 
 
 def agreement(a: str, b: str) -> Column:
@@ -79,10 +91,9 @@ def agreement(a: str, b: str) -> Column:
     return F.lit(COORDINATES) - differ
 
 
-def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
-    """Of pairs (a, b) of set ids those whose full sets reach the threshold. Sets are made again from whole texts, of the documents in pairs only."""
-    asked = pairs.select(F.col("a").alias("sid")).union(pairs.select(F.col("b").alias("sid"))).distinct()
-    keys = save(reps.join(asked, "sid").select("sid", F.coalesce("doc", F.lit(-(2**63))).alias("key")), "asked")
+def full_sets(sids: DataFrame, docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
+    """(sid, members) of the given set ids, made again from whole texts of their documents only."""
+    keys = save(reps.join(sids.distinct(), "sid").select("sid", F.coalesce("doc", F.lit(-(2**63))).alias("key")), "asked")
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("key"), "text").join(keys.select("key").distinct(), "key", "left_semi")
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -90,15 +101,73 @@ def verified(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent
         return pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in own], pa.binary()), pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64()))], ["sid", "members"])
 
     full = map_batches(texts, sets, "sid binary, members array<bigint>").join(keys.select("sid"), "sid", "left_semi")
-    full = save(full.groupBy("sid").agg(F.first("members").alias("members")), "sets")
+    return save(full.groupBy("sid").agg(F.first("members").alias("members")), "sets")
+
+
+def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b) of set ids those whose full sets reach the threshold."""
     x, y = full.select(F.col("sid").alias("a"), F.col("members").alias("x")), full.select(F.col("sid").alias("b"), F.col("members").alias("y"))
     both = pairs.join(x, "a").join(y, "b").withColumn("n", F.size(F.array_intersect("x", "y")))
-    links = save(both.where(100 * F.col("n") >= percent * (F.size("x") + F.size("y") - F.col("n"))).select("a", "b"), "links")
-    discard(full, keys)
-    free_shuffles(docs.sparkSession)
+    return both.where(100 * F.col("n") >= percent * (F.size("x") + F.size("y") - F.col("n"))).select("a", "b")
+
+
+def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Compares every pair of full sets, by counting through postings of shared members; gives a link for each union of two components."""
+    sizes = np.array([len(s) for s in sets])
+    row = np.repeat(np.arange(len(sets)), sizes)
+    _, token = np.unique(np.concatenate(sets), return_inverse=True)
+    order = np.argsort(token, kind="stable")
+    postings, begin = row[order], np.searchsorted(token[order], np.arange(token.max() + 2))
+    root = list(range(len(sets)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    links, ends = [], np.cumsum(sizes)
+    for i in range(len(sets) - 1):
+        own = token[ends[i] - sizes[i] : ends[i]]
+        many = begin[own + 1] - begin[own]
+        own, many = own[many > 1], many[many > 1]
+        if not len(own):
+            continue
+        places = np.repeat(begin[own] - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum())
+        shared = np.bincount(postings[places], minlength=len(sets))[i + 1 :]
+        for j in (np.flatnonzero(100 * shared >= percent * (sizes[i] + sizes[i + 1 :] - shared)) + i + 1).tolist():
+            if (a := find(i)) != (b := find(j)):
+                root[b] = a
+                links.append((i, j))
     return links
 
 
+def crowd_links(crowds: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that span the components of each crowd (node, sid); a task holds the sets of one crowd, of bounded size."""
+
+    def run(batches):  # noqa: ANN001, ANN202
+        node, sids, sets = None, [], []
+
+        def flush() -> pa.RecordBatch:
+            links = spanning_links(sets, percent) if len(sets) > 1 else []
+            return pa.RecordBatch.from_arrays([pa.array([min(sids[i], sids[j]) for i, j in links], pa.binary()), pa.array([max(sids[i], sids[j]) for i, j in links], pa.binary())], ["a", "b"])
+
+        for batch in batches:
+            members = batch.column("members")
+            for i, (own, sid) in enumerate(zip(batch.column("node").to_pylist(), batch.column("sid").to_pylist(), strict=True)):
+                if own != node:
+                    if sets:
+                        yield flush()
+                    node, sids, sets = own, [], []
+                sids.append(sid)
+                sets.append(np.array(members[i].values))
+        if sets:
+            yield flush()
+
+    n = int(crowds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return crowds.join(full, "sid").repartition(n, "node").sortWithinPartitions("node", "sid").mapInArrow(run, "a binary, b binary")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(sid, root): the least sid of each connected component, by least labels of neighbours with pointer jumping."""
     both = save(links.union(links.select("b", "a")).toDF("v", "u").distinct(), "edges")
@@ -114,15 +183,17 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, recall: float = RECALL) -> DataFrame:
-    """``docs`` (doc_id, text) -> (doc_id, n_shingles, component_id, n_links), a row per row.
+    """``docs`` (doc_id, text) -> (doc_id, n_shingles, component_id), a row per row.
 
     Documents with 100 * intersection >= ``percent`` * union of their shingle sets are linked; component_id
     is the least doc_id that links reach. Texts with equal sets are one node. In each of enough trees that
     ``recall`` of pairs at the threshold meet, every node sends its documents to children by the minwise
-    tokens that its own hash selects. Small nodes compare all pairs of sketches. A larger one compares its
-    documents with one leader and, if they are then not all in one component, branches on: a group of many
-    near copies costs a comparison each, not one for every pair, and no document is ever left out.
-    Pairs that pass the sketches are confirmed on full sets. Nothing but counts comes to the driver.
+    tokens that its own hash selects. Nodes of up to ``SMALL_NODE`` documents compare all pairs of sketches
+    and confirm the likely ones on full sets; nodes of up to ``CROWD`` compare all full sets at once and
+    return what spans their components, so a group of near copies never becomes a row for each pair. Larger
+    nodes compare their documents with one leader and, unless that makes them one component, branch on, in
+    ``SUBTREES`` independent ways, with so few children that pairs below the threshold thin out. No
+    document is ever left out of a node, and nothing but counts comes to the driver.
 
     Null or empty text has no shingles, no links, and its own doc_id. Rows that repeat a doc_id are rows of
     one document; rows without doc_id link others, but give no component its id (alone they have null).
@@ -137,42 +208,50 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 
     base = save(map_batches(docs.select(F.col("doc_id").cast("long"), "text"), sign, "doc_id long, n_shingles long, sid binary, least array<int>, s0 long, s1 long, s2 long, s3 long"), "signed")
     some = base.where("n_shingles > 0")
-    reps = save(some.groupBy("sid").agg(F.min("doc_id").alias("doc"), *(F.first(c).alias(c) for c in ("least", "s0", "s1", "s2", "s3"))), "sets_of_docs")
+    reps = save(some.groupBy("sid").agg(F.min("doc_id").alias("doc"), *(F.first(c).alias(c) for c in ("n_shingles", "least", "s0", "s1", "s2", "s3"))), "sets_of_docs")
     free_shuffles(docs.sparkSession)
     need = math.floor(COORDINATES * (percent / 100 - SLACK))
 
     rows = reps.withColumn("node", F.explode(F.transform(F.sequence(F.lit(1), F.lit(trees_for(recall, percent))), lambda t: F.xxhash64(F.lit("tree"), t))))
     for _ in range(FIRST_DEPTH):
         rows = branch(rows)
-    links, tried, depth = None, None, FIRST_DEPTH
+    links, depth = None, FIRST_DEPTH
     while True:
-        rows = save(rows.select("node", "sid", "doc", "s0", "s1", "s2", "s3").distinct(), "nodes")
-        sizes = save(rows.groupBy("node").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("sid", F.lit(depth)) if depth > FIRST_DEPTH else F.col("doc"), "sid", "s0", "s1", "s2", "s3")).alias("first")).where("n > 1"), "node_sizes")
-        last = depth >= MAX_DEPTH
-        small = rows.join(sizes.where(F.lit(last) | (F.col("n") <= SMALL_NODE)).select("node"), "node", "left_semi")
+        rows = save(rows.select("node", "sid", "n_shingles", "doc", "s0", "s1", "s2", "s3").distinct(), "nodes")
+        leader = F.xxhash64("sid", F.lit(depth)) if depth > FIRST_DEPTH else F.col("doc")
+        sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"), F.sum(F.pmod(F.xxhash64("sid"), F.lit(1 << 40))).alias("mark"), F.min(F.struct(leader, "sid", "s0", "s1", "s2", "s3")).alias("first"))
+        sizes = save(sizes.where("n > 1"), "node_sizes")
+        fits = (F.col("n") <= CROWD) & (F.col("weight") <= CROWD_SHINGLES) | F.lit(depth >= MAX_DEPTH)
+        small = rows.join(sizes.where(F.col("n") <= SMALL_NODE).select("node"), "node", "left_semi")
         x, y = small.alias("x"), small.alias("y")
         pairs = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.sid") < F.col("y.sid")) & (agreement("x", "y") >= need)).select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
-        large = sizes.where((F.col("n") > SMALL_NODE) & ~F.lit(last))
+        large = sizes.where((F.col("n") > SMALL_NODE) & ~fits)
         star = rows.alias("x").join(large.select("node", "first.*").alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.sid") != F.col("y.sid")) & (agreement("x", "y") >= need))
-        pairs = pairs.union(star.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b"))).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = save(pairs, "pairs")
-        tried = pairs if tried is None else tried.union(pairs)
-        free_shuffles(docs.sparkSession)
-        found = verified(pairs, docs, reps, shingle, percent)
+        pairs = save(pairs.union(star.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b"))).distinct(), "pairs")
+        crowded = sizes.where((F.col("n") > SMALL_NODE) & fits).groupBy("n", "weight", "mark").agg(F.min("node").alias("node"))  # one of those with the same documents
+        crowds = save(rows.select("node", "sid").join(crowded.select("node"), "node", "left_semi"), "crowds")
+        asked = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(crowds.select("sid"))
+        full = full_sets(asked, docs, reps, shingle)
+        found = verified(pairs, full, percent)
+        if not crowds.isEmpty():
+            found = found.union(crowd_links(crowds, full, percent))
+        found = save(found.distinct(), "links")
         links = found if links is None else links.union(found)
+        discard(full, pairs, crowds)
+        free_shuffles(docs.sparkSession)
         if large.isEmpty():
             break
         roots = components(links)
         joined = rows.join(large.select("node"), "node", "left_semi").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         mixed = joined.groupBy("node").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("node")
-        rows = branch(joined.join(mixed, "node", "left_semi").select("node", "sid").join(reps, "sid"))
+        deeper = joined.join(mixed, "node", "left_semi").select("node", "sid").join(reps, "sid")
+        if depth == FIRST_DEPTH:
+            deeper = deeper.withColumn("node", F.explode(F.transform(F.sequence(F.lit(1), F.lit(SUBTREES)), lambda t: F.xxhash64("node", F.lit("subtree"), t))))
+        rows = branch_slowly(deeper, percent)
         depth += 1
     roots = components(links)
-    degree = links.union(links.select("b", "a")).toDF("v", "u").groupBy(F.col("v").alias("sid")).agg(F.count("*").alias("links"))
     copies = some.groupBy("sid").agg(F.min("doc_id").alias("first"))
     owned = copies.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     groups = owned.groupBy("root").agg(F.min("first").alias("component"))
-    named = owned.join(groups, "root").join(degree, "sid", "left").select("sid", "component", F.coalesce("links", F.lit(0)).alias("links"))
-    return base.select("doc_id", "n_shingles", F.col("sid")).join(save(named, "named"), "sid", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
+    named = save(owned.join(groups, "root").select("sid", "component"), "named")
+    return base.select("doc_id", "n_shingles", "sid").join(named, "sid", "left").select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
