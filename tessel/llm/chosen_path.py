@@ -142,6 +142,64 @@ def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
     return links
 
 
+def likely_parts(crowds: DataFrame, need: int) -> DataFrame:
+    """Splits each crowd (node, sid, s0..s3) into the parts that likely pairs of sketches connect.
+
+    Gives (part, a, b): a likely pair of a part of up to ``SMALL_NODE`` documents (part is null), or a member
+    a of a larger part (b is null). Documents without a likely partner in the crowd go.
+    """
+
+    def run(batches):  # noqa: ANN001, ANN202
+        node, sids, sketches = None, [], []
+
+        def flush() -> pa.RecordBatch:
+            x, n = np.array(sketches, np.int64).view(np.uint64), len(sids)
+            root, rows = np.arange(n), []
+            near = [np.flatnonzero(_agree(x[i], x[i + 1 :]) >= need) + i + 1 for i in range(n)]
+            for i in range(n):
+                for j in near[i].tolist():
+                    a, b = _find(root, i), _find(root, j)
+                    root[max(a, b)] = min(a, b)
+            root = np.array([_find(root, i) for i in range(n)])
+            size = np.bincount(root, minlength=n)
+            for i in range(n):
+                if size[root[i]] > SMALL_NODE:
+                    rows.append((int.from_bytes(hashlib.blake2b(f"{node}/{root[i]}".encode(), digest_size=8).digest(), "little", signed=True), sids[i], None))
+                else:
+                    rows += [(None, min(sids[i], sids[j]), max(sids[i], sids[j])) for j in near[i].tolist()]
+            part, a, b = zip(*rows, strict=True) if rows else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["part", "a", "b"])
+
+        for batch in batches:
+            for own, sid, *s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if own != node:
+                    if sids:
+                        yield flush()
+                    node, sids, sketches = own, [], []
+                sids.append(sid)
+                sketches.append(s)
+        if sids:
+            yield flush()
+
+    n = int(crowds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return crowds.repartition(n, "node").sortWithinPartitions("node", "sid").mapInArrow(run, "part long, a binary, b binary")
+
+
+def _find(root, i: int) -> int:  # noqa: ANN001
+    while root[i] != i:
+        root[i] = root[root[i]]
+        i = int(root[i])
+    return i
+
+
+def _agree(x: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """How many of the 64 coordinates of a sketch agree with those of each other one."""
+    d = x[None, :] ^ others
+    d |= d >> np.uint64(2)
+    d |= d >> np.uint64(1)
+    return COORDINATES - np.bitwise_count(d & np.uint64(0x1111111111111111)).sum(1).astype(np.int64)
+
+
 def crowd_links(crowds: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) that span the components of each crowd (node, sid); a task holds the sets of one crowd, of bounded size."""
 
@@ -189,8 +247,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     is the least doc_id that links reach. Texts with equal sets are one node. In each of enough trees that
     ``recall`` of pairs at the threshold meet, every node sends its documents to children by the minwise
     tokens that its own hash selects. Nodes of up to ``SMALL_NODE`` documents compare all pairs of sketches
-    and confirm the likely ones on full sets; nodes of up to ``CROWD`` compare all full sets at once and
-    return what spans their components, so a group of near copies never becomes a row for each pair. Larger
+    and confirm the likely ones on full sets; nodes of up to ``CROWD`` split by sketches
+    into likely parts, and each part compares all full sets at once and returns what spans its components, so a group of near copies never becomes a row for each pair. Larger
     nodes compare their documents with one leader and, unless that makes them one component, branch on, in
     ``SUBTREES`` independent ways, with so few children that pairs below the threshold thin out. No
     document is ever left out of a node, and nothing but counts comes to the driver.
@@ -217,7 +275,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         rows = branch(rows)
     links, depth = None, FIRST_DEPTH
     while True:
-        rows = save(rows.select("node", "sid", "n_shingles", "doc", "s0", "s1", "s2", "s3").distinct(), "nodes")
+        rows = save(rows.select("node", "sid", "n_shingles", "doc", "s0", "s1", "s2", "s3"), "nodes")
         leader = F.xxhash64("sid", F.lit(depth)) if depth > FIRST_DEPTH else F.col("doc")
         sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"), F.sum(F.pmod(F.xxhash64("sid"), F.lit(1 << 40))).alias("mark"), F.min(F.struct(leader, "sid", "s0", "s1", "s2", "s3")).alias("first"))
         sizes = save(sizes.where("n > 1"), "node_sizes")
@@ -227,9 +285,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
         pairs = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.sid") < F.col("y.sid")) & (agreement("x", "y") >= need)).select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
         large = sizes.where((F.col("n") > SMALL_NODE) & ~fits)
         star = rows.alias("x").join(large.select("node", "first.*").alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.sid") != F.col("y.sid")) & (agreement("x", "y") >= need))
-        pairs = save(pairs.union(star.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b"))).distinct(), "pairs")
+        pairs = pairs.union(star.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")))
         crowded = sizes.where((F.col("n") > SMALL_NODE) & fits).groupBy("n", "weight", "mark").agg(F.min("node").alias("node"))  # one of those with the same documents
-        crowds = save(rows.select("node", "sid").join(crowded.select("node"), "node", "left_semi"), "crowds")
+        parts = save(likely_parts(rows.select("node", "sid", "s0", "s1", "s2", "s3").join(crowded.select("node"), "node", "left_semi"), need), "parts")
+        pairs = pairs.union(parts.where("part is null").select("a", "b")).distinct()
+        members = parts.where("part is not null").select(F.col("part").alias("node"), F.col("a").alias("sid"))
+        same = members.groupBy("node").agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("sid"), F.lit(1 << 40))).alias("mark")).groupBy("n", "mark").agg(F.min("node").alias("node"))
+        crowds = save(members.join(same.select("node"), "node", "left_semi"), "crowds")
+        pairs = save(pairs, "pairs")
         asked = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(crowds.select("sid"))
         full = full_sets(asked, docs, reps, shingle)
         found = verified(pairs, full, percent)
@@ -237,9 +300,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
             found = found.union(crowd_links(crowds, full, percent))
         found = save(found.distinct(), "links")
         links = found if links is None else links.union(found)
-        discard(full, pairs, crowds)
+        discard(full, pairs, crowds, parts)
+        last = large.isEmpty()
         free_shuffles(docs.sparkSession)
-        if large.isEmpty():
+        if last:
             break
         roots = components(links)
         joined = rows.join(large.select("node"), "node", "left_semi").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
