@@ -60,8 +60,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         out = stage(spark, docs, sf_dir)
-        base = spark.conf.get("spark.checkpoint.dir", "") or scratch_path(spark, "").rpartition("/tessel-")[0]
-        path = f"{base}/corpus-{name}-{id(out):x}-{spark.sparkContext.startTime:x}"
-        out.write.mode("overwrite").parquet(path)
+        path = scratch_path(spark, name, keep=True)
+        out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

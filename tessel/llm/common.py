@@ -21,14 +21,17 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _scratch: dict[str, tuple[SparkSession, list[str]]] = {}
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests)."""
+def scratch_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A fresh folder in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests).
+
+    It goes with ``release``, or with ``keep`` at the program's end only.
+    """
     base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="tessel-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base}/tessel-{uuid.uuid4().hex}/{name}"
-    _scratch.setdefault(spark.sparkContext.applicationId, (spark, []))[1].append(path.rpartition("/")[0])
+    _scratch.setdefault(spark.sparkContext.applicationId + "/kept" * keep, (spark, []))[1].append(path.rpartition("/")[0])
     return path
 
 
@@ -59,9 +62,9 @@ def few(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def release(spark: SparkSession) -> None:
+def release(spark: SparkSession, kept: bool = False) -> None:
     """Deletes this application's scratch tables. Results that were not written yet and still read them are lost."""
-    owner, paths = _scratch.pop(spark.sparkContext.applicationId, (None, []))
+    owner, paths = _scratch.pop(spark.sparkContext.applicationId + "/kept" * kept, (None, []))
     if owner is None or spark.sparkContext._jsc is None:
         return
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -75,6 +78,7 @@ def _release_all() -> None:
     for owner, _ in list(_scratch.values()):
         try:
             release(owner)
+            release(owner, kept=True)
         except Exception:  # the JVM may be gone at exit  # noqa: BLE001
             pass
 
