@@ -12,9 +12,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessel.llm.common import map_batches, save
+from tessel.llm.common import PIECE_BYTES, map_batches, save
 
-MIN_REVISIT_BYTES, BROADCAST_ROWS = 100, 100_000
+MIN_REVISIT_BYTES, BROADCAST_ROWS, ARCHIVE_RECORDS, BATCH_RECORDS = 100, 100_000, 20_000, 4_096
 GZIP_MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/1."
 _NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
 _EMPTY_MEMBER = zlib.compressobj(6, zlib.DEFLATED, 31).flush()
@@ -63,7 +63,7 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES) -> None:
-    """Writes a gzip member per record into archives under ``path``, one per partition of ``pages``.
+    """Writes a gzip member per record into archives under ``path``, one per partition of ``pages`` and ``ARCHIVE_RECORDS`` rows.
 
     Spark's text writer makes the files, so any of its stores will do and lost tasks leave nothing behind.
     It ends each value with a separator; a member's last byte, always zero, serves as that.
@@ -78,7 +78,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
         return pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
     members = map_batches(with_revisits(pages, min_bytes), write, "value binary")
-    members.select(F.col("value").cast("string")).write.option("lineSep", "\0").text(path)
+    members.select(F.col("value").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
 
 
 def parse_record(data: memoryview | bytes, at: int) -> tuple[dict, int] | str:
@@ -173,17 +173,27 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Records (kind ``record``) and quarantined gaps (kind ``gap``, with byte range and reason) of the archives under ``path``.
 
     Reads gzip members and plain records, mixed as they come. An archive is one task's work: keep archives
-    to some hundred MB, as the writer does. An empty archive gives nothing.
+    to some hundred MB, as the writer does. Records leave the task in small batches, so it holds an
+    archive's bytes but never all its payloads. An empty archive gives nothing.
     """
     names = [x.split()[0] for x in _ENTRY.split(", ")]
+    types = [pa.int64() if t == "long" else pa.binary() if t == "binary" else pa.string() for t in (x.split()[1] for x in _ENTRY.split(", "))]
 
-    def parse(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for name, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-            for start, end, reason, found in salvage(data.as_py()):
-                place = {"path": name, "start_byte": start, "end_byte": end, "reason": reason}
-                rows += [place | {"kind": "gap"}] if reason else [place | {"kind": "record"} | x for x in found]
-        types = [pa.int64() if t == "long" else pa.binary() if t == "binary" else pa.string() for t in (x.split()[1] for x in _ENTRY.split(", "))]
+    def batch_of(rows: list[dict]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], t) for n, t in zip(names, types, strict=True)], names)
 
-    return map_batches(spark.read.format("binaryFile").load(path).select("path", "content"), parse, _ENTRY)
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for batch in batches:
+            for name, data in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                for start, end, reason, found in salvage(data.as_py()):
+                    place = {"path": name, "start_byte": start, "end_byte": end, "reason": reason}
+                    rows += [place | {"kind": "gap"}] if reason else [place | {"kind": "record"} | x for x in found]
+                    held += sum(len(x["payload"]) for x in found)
+                    if held >= PIECE_BYTES or len(rows) >= BATCH_RECORDS:
+                        yield batch_of(rows)
+                        rows, held = [], 0
+        if rows:
+            yield batch_of(rows)
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(parse, _ENTRY)
