@@ -50,9 +50,14 @@ CONTEXT, ROUNDS, THRESHOLD = 40, 25, 0.5
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, m>> in code points, from what lies between and within the matches."""
+    """array<struct<start, end, m>> in code points, from what lies between and within the matches.
+
+    Places are summed within blocks of about the square root of the number of matches and then over the
+    blocks, so that the list found so far is not copied once for each match.
+    """
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
     empty = F.expr("named_struct('at', 0, 'out', cast(array() as array<struct<start:int,end:int,m:string>>))")
+    no_blocks = F.expr("named_struct('at', 0, 'out', cast(array() as array<array<struct<start:int,end:int,m:string>>>))")
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["gap"])
@@ -60,7 +65,17 @@ def matches(text: Column, pattern: str) -> Column:
         more = F.when(x["m"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(start.alias("start"), end.alias("end"), x["m"].alias("m")))))
         return F.struct(end.alias("at"), more.alias("out"))
 
-    return F.aggregate(parts, empty, step, lambda acc: acc["out"])
+    def blocks(p: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(p))).cast("int")
+        last = F.floor((F.size(p) - 1) / width).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.aggregate(F.slice(p, i * width + 1, width), empty, step))
+
+    def join(acc: Column, block: Column) -> Column:
+        moved = F.transform(block["out"], lambda x: F.struct((acc["at"] + x["start"]).alias("start"), (acc["at"] + x["end"]).alias("end"), x["m"].alias("m")))
+        return F.struct((acc["at"] + block["at"]).alias("at"), F.concat(acc["out"], F.array(moved)).alias("out"))
+
+    bound = F.transform(F.array(parts), lambda p: F.aggregate(blocks(p), no_blocks, join, lambda acc: F.flatten(acc["out"])))  # parts are made once
+    return F.element_at(bound, 1)
 
 
 def digits(m: Column) -> Column:
