@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -110,10 +112,15 @@ def id_in_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.where(F.col("doc_id").isin([3, 5, 8, 100_000_000])).union(docs.where(F.col("doc_id").isin([])))
 
 
-@query(f"SELECT doc_id, CAST(length(text) AS BIGINT) AS text_length, CAST(len({TOK}) AS BIGINT) AS token_count FROM documents WHERE length(text) > 10000 ORDER BY 3 DESC, 1 LIMIT 100")
+@query(f"SELECT doc_id, CAST(length(text) AS BIGINT) AS text_length, CAST(len({TOK}) AS BIGINT) AS token_count FROM documents WHERE length(text) > 10000 ORDER BY 3 DESC, 1")
 def long_docs_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "documents").select("doc_id", F.length("text").cast("long").alias("text_length"), F.size(text.tokens(F.col("text"))).cast("long").alias("token_count"))
-    return rows.where("text_length > 10000").orderBy(F.desc("token_count"), "doc_id").limit(100)
+    return rows.where("text_length > 10000").orderBy(F.desc("token_count"), "doc_id")
+
+
+@query("SELECT doc_id, lang, source FROM documents ORDER BY doc_id LIMIT 10000")
+def take_first_10000(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", "lang", "source").orderBy("doc_id").limit(10_000)
 
 
 @query(f"SELECT CAST(min(length(text)) AS BIGINT) AS min_length, count(*) AS n FROM documents WHERE len({TOK}) > 2048")
@@ -144,11 +151,11 @@ def pack_batch_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(spark, sf_dir).groupBy("shard", "batch_id").agg(F.count("*").alias("n_rows"), F.max("n").alias("longest"), F.sum("n").alias("tokens"), (F.max("n") * F.count("*")).alias("padded"))
 
 
-@query(f"""WITH t AS (SELECT doc_id, doc_id // 8 AS batch_id, list_concat([101, 9], list_transform({TOK}[1:40], lambda x: CAST(length(x) AS INT))) AS tokens FROM documents),
+@query(f"""WITH t AS (SELECT doc_id, doc_id // 8 AS batch_id, list_concat([101, 9], list_transform({TOK}, lambda x: CAST(length(x) AS INT))) AS tokens FROM documents),
 m AS (SELECT *, max(len(tokens)) OVER (PARTITION BY batch_id) AS longest FROM t)
 SELECT doc_id, batch_id, list_concat(tokens, list_transform(range(len(tokens), longest), lambda x: 0)) AS tokens, list_concat(list_transform(tokens, lambda x: 1), list_transform(range(len(tokens), longest), lambda x: 0)) AS mask FROM m""")
 def pad_and_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = F.concat(F.array(F.lit(101), F.lit(9)), F.transform(F.slice(text.tokens(F.col("text")), 1, 40), lambda x: F.length(x)))
+    ids = F.concat(F.array(F.lit(101), F.lit(9)), F.transform(text.tokens(F.col("text")), lambda x: F.length(x)))
     rows = read(spark, sf_dir, "documents").select("doc_id", F.floor(F.col("doc_id") / 8).cast("long").alias("batch_id"), ids.alias("tokens"))
     return batches.pad(rows, ["batch_id"], "tokens")
 
@@ -374,7 +381,7 @@ def embed_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f32_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp()
     base = base.removeprefix("file:").replace("//", "/") if base.startswith(("file:", "/")) else tempfile.mkdtemp()  # a mount that all executors share
-    folder = tempfile.mkdtemp(dir=base if __import__("os").path.isdir(base) else None)
+    folder = tempfile.mkdtemp(dir=base if os.path.isdir(base) else None)
     rows = select.with_position(read(spark, sf_dir, "embeddings").select(_shard("vec_id"), "vec_id", F.col("embedding").alias("vector")), "shard", "vec_id")
     tables.write_f32(rows, folder).write.format("noop").mode("overwrite").save()
     back = tables.read_f32(spark, "file:" + folder, 64)
@@ -397,16 +404,16 @@ def corpus_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_corpus(spark, f"{sf_dir}/documents.parquet", keep=("doc_id", "lang")).select("doc_id", "row_pos", "lang")
 
 
-@query("SELECT doc_id, split_part(source, 'c', 2) AS number, repeat('I ', 3) AS probe, 'clustering: ' || CASE WHEN regexp_matches(text, '^\\s*$') THEN ' ' ELSE text END AS prompt FROM documents ORDER BY doc_id LIMIT 50".replace("\\\\", "\\"))
+@query("SELECT doc_id, split_part(source, 'c', 2) AS number, repeat('I ', 3) AS probe, 'clustering: ' || CASE WHEN regexp_matches(text, '^\\s*$') THEN ' ' ELSE text END AS prompt FROM documents".replace("\\\\", "\\"))
 def drop_select_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "documents").drop("n_chars", "not_there").withColumnRenamed("source", "origin")
     prompt = F.concat(F.lit("clustering: "), F.when(F.col("text").rlike(r"^\s*$"), " ").otherwise(F.col("text")))
-    return rows.select("doc_id", F.split_part("origin", F.lit("c"), F.lit(2)).alias("number"), F.repeat(F.lit("I "), 3).alias("probe"), prompt.alias("prompt")).orderBy("doc_id").limit(50)
+    return rows.select("doc_id", F.split_part("origin", F.lit("c"), F.lit(2)).alias("number"), F.repeat(F.lit("I "), 3).alias("probe"), prompt.alias("prompt"))
 
 
-@query("SELECT label, count(*) AS n, CAST(max(len(embedding)) AS BIGINT) AS width, count(DISTINCT vec_id % 4) AS shards FROM embeddings WHERE vec_id % 7 <> 0 GROUP BY label")
+@query("SELECT label, count(*) AS n, CAST(max(len(embedding)) AS BIGINT) AS width, count(DISTINCT vec_id % 4) AS shards FROM embeddings WHERE embedding[1] >= 0 GROUP BY label")
 def stack_nonnull_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "embeddings").withColumn("embedding", F.when(F.col("vec_id") % 7 != 0, F.col("embedding"))).where("embedding is not null")
+    rows = read(spark, sf_dir, "embeddings").withColumn("embedding", F.when(F.col("embedding")[0] >= 0, F.col("embedding"))).where("embedding is not null")
     return rows.groupBy("label").agg(F.count("*").alias("n"), F.max(F.size("embedding")).cast("long").alias("width"), F.count_distinct(_shard("vec_id")).alias("shards"))
 
 
@@ -420,7 +427,7 @@ def incremental_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessel.streaming.shards import follow
 
     base = spark.conf.get("spark.checkpoint.dir", "") or "file:" + tempfile.mkdtemp()
-    root = f"{base}/shards-{__import__('uuid').uuid4().hex}"
+    root = f"{base}/shards-{uuid.uuid4().hex}"
     docs = read(spark, sf_dir, "documents")
     docs.select("doc_id", "text").repartition(4).write.parquet(f"{root}/in")
     follow(spark, f"{root}/in", "doc_id long, text string", lambda df: df.select("doc_id", F.length("text").cast("long").alias("n")), f"{root}/out", f"{root}/state", files_at_once=2)

@@ -48,6 +48,20 @@ def test_packing_holds_the_limit_and_loses_nothing(spark):
     assert got.batch_id.min() == 0
 
 
+def test_packing_equals_a_scan_row_by_row(spark):
+    rng = np.random.default_rng(2)
+    rows = [(s, i, int(n)) for s in (0, 1, None) for i, n in enumerate(rng.integers(0, [12, 60, 30][s or 0], 150))]
+    got = {(r.shard, r.id): r.batch_id for r in batches.pack(spark.createDataFrame(rows, "shard int, id long, chunk_token_count long"), 40, 0, "shard", ["id"]).collect()}
+    assert len(got) == len(rows)
+    for s in (0, 1, None):
+        batch, k = 0, 0
+        for n, i in sorted((n, i) for own, i, n in rows if own == s):
+            if k and (k + 1) * n > 40:
+                batch, k = batch + 1, 0
+            k += 1
+            assert got[s, i] == batch
+
+
 def test_two_phases_with_enough_local_rows_are_exact(spark):
     rows = spark.range(400).selectExpr("id as vec_id", "id % 4 as shard", "id % 5 as feature", "(id * 37 % 101) / 10.0 as activation")
     order = catalogue._order()
