@@ -60,6 +60,10 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float]:
         """A learned language with its share of the likelihood (0 to 1); ``und`` and 0 without letters or evidence."""
         counts = Counter(_WORD.findall((text or "").lower()))
+        for word in [w for w in counts if not w.isalpha()]:  # holds numerals that are no digits
+            n = counts.pop(word)
+            for part in "".join(c if c.isalpha() else " " for c in word).split():
+                counts[part] += n
         if not counts or not self.langs:
             return "und", 0.0
         known, times, total = [], [], np.zeros(len(self.langs))

@@ -176,6 +176,8 @@ def test_language_of_odd_texts(docs):
     got = {r.text: r for r in langid.identify(docs, langid.learn(docs)).collect()}
     assert [got[t].lang_pred for t in (None, "", " ")] == ["und"] * 3
     assert set(got["x"].asDict()) == {*docs.columns, "lang_pred"}
+    model = langid.Model(["de", "en"], {"two": 0}, np.array([[-1.0, 1.0]]), {"_": 0}, np.array([[0.5, -0.5]]))
+    assert [model.predict(t)[0] for t in ("½ ² 12 Ⅷ", "two²", "²")] == ["und", "en", "und"]
 
 
 def test_personal_data_base_equals_plain(spark):
