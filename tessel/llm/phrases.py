@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessel.llm.common import discard, free_shuffles, map_batches, mix, row_of, save, stream_by_shard, windows, word_hashes
+from tessel.llm.common import discard, free_shuffles, map_batches, mix, pieces, row_of, save, stream_by_shard, windows, word_hashes
 
 WINDOW, GRAM, SHARD_PHRASES = 13, 7, 100_000
 
@@ -44,8 +44,8 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int =
     3. Only there, windows are counted by their own hashes; those found in two documents are confirmed, and
        their first document hands in the passages that they make up.
     4. Passages go to shards by the first document of their hash, so a document meets few shards; each
-       shard's automaton runs over every stretch of every document that has its hashes (no other can hold a
-       confirmed phrase) and reports every place.
+       shard's automaton of their least grams runs over every stretch of every document that has its hashes
+       (no other can hold a confirmed window); the windows around its hits are looked up whole.
 
     Null text has no words and its kept text is empty, as for empty text. Rows without doc_id come neither
     before nor after others, so they keep their words and cost nobody any; rows that repeat a doc_id do not
@@ -126,9 +126,10 @@ def remove_repeated_passages(docs: DataFrame, window: int = WINDOW, gram: int =
     def run(groups: Iterator) -> Iterator[pa.RecordBatch]:
         for _, entries, batches in groups:
             if entries is not None:
-                automaton, first = compile_passages(entries, window)
+                compiled = compile_passages(entries, window, gram)
                 for batch in batches:
-                    yield _places(batch, automaton, first, window)
+                    for piece in pieces(batch):
+                        yield _places(piece, *compiled, window, gram)
 
     def deal(batch: pa.RecordBatch) -> pa.RecordBatch:
         h, rows, at, row, owner = located(batch)
@@ -185,28 +186,49 @@ def _lookup(rows_a: np.ndarray, a: np.ndarray, rows_b: np.ndarray, b: np.ndarray
     return out
 
 
-def compile_passages(entries: pa.Table, window: int) -> tuple[ahocorasick.Automaton, dict[int, int]]:
-    """An automaton over 32-bit letters, the words of each window of each passage; and the first document by the hash of a whole window."""
-    automaton, firsts = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE), {}
-    for passage, first in zip(entries.column("passage").to_pylist(), entries.column("first").to_pylist(), strict=True):
-        h = np.frombuffer(passage, np.uint64)
-        letters, whole = (h >> np.uint64(32)).tolist(), windows(h, window).tolist()
-        for i in range(len(h) - window + 1):
-            automaton.add_word(tuple(letters[i : i + window]), 1)
-            firsts[whole[i]] = min(first, firsts.get(whole[i], first))
+def compile_passages(entries: pa.Table, window: int, gram: int) -> tuple[ahocorasick.Automaton, np.ndarray, np.ndarray]:
+    """An automaton over 32-bit letters of words, and the hashes of the passages' windows with their first documents.
+
+    Its keys are the least grams of all windows: neighbours share them, so it has a fraction of the nodes
+    that whole windows would take, and every occurrence of a window still holds a key.
+    """
+    h, rows = _words(entries.column("passage"))
+    at, least = minimizers(h, rows, window, gram)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    _, place = np.unique(windows(h, gram), return_index=True)
+    letters = (h >> np.uint64(32)).tolist()
+    for p in place[np.isin(windows(h, gram)[place], least)].tolist():
+        automaton.add_word(tuple(letters[p : p + gram]), 1)
     automaton.make_automaton()
-    return automaton, firsts
-
-
-def _places(batch: pa.RecordBatch, automaton: ahocorasick.Automaton, firsts: dict[int, int], window: int) -> pa.RecordBatch:
-    found = []
-    for doc, start, words in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "start", "words")), strict=True):
-        h = np.frombuffer(words, np.uint64)
-        whole, own = windows(h, window), []
-        for end, _ in automaton.iter(tuple((h >> np.uint64(32)).tolist())):
-            s = end - window + 1
-            first = firsts.get(int(whole[s]))
-            if first is not None and first < doc:
-                own.append(start + s)
-        found.append(own)
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("t"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "t", "starts"])
+    first = np.asarray(entries.column("first"))[row_of(rows)[at]]
+    whole = windows(h, window)[at]
+    order = np.lexsort((first, whole))
+    known, begin = np.unique(whole[order], return_index=True)
+    return automaton, known, first[order][begin]
+
+
+def _words(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The word hashes of a column of binary stretches, row after row, and where each row begins in them."""
+    rows = column.to_pylist()
+    return np.frombuffer(b"".join(rows), np.uint64), np.cumsum([0, *(len(x) // 8 for x in rows)])
+
+
+def _places(batch: pa.RecordBatch, automaton: ahocorasick.Automaton, known: np.ndarray, first: np.ndarray, window: int, gram: int) -> pa.RecordBatch:
+    """Where windows of a smaller document begin: those around the automaton's hits whose whole hash is known."""
+    h, rows = _words(batch.column("words"))
+    letters, hits = h >> np.uint64(32), []
+    for a, b in zip(rows[:-1].tolist(), rows[1:].tolist(), strict=True):
+        hits += [a + end for end, _ in automaton.iter(tuple(letters[a:b].tolist()))]
+    near = np.zeros(len(h) + 1, np.int64)  # windows that hold a hit begin from its end less a window to its begin
+    ends = np.array(hits, np.int64)
+    np.add.at(near, np.maximum(ends - window + 1, 0), 1)
+    np.add.at(near, ends - gram + 2, -1)
+    row = row_of(rows)
+    s = np.flatnonzero((np.cumsum(near[:-1]) > 0) & (np.arange(len(h)) + window <= rows[1:][row]))
+    whole = windows(h, window)[s] if len(s) else h[:0]
+    i = np.minimum(np.searchsorted(known, whole), max(0, len(known) - 1))
+    doc = np.asarray(batch.column("doc_id"))
+    s = s[(known[i] == whole) & (first[i] < doc[row[s]])]
+    start = (s - rows[:-1][row[s]] + np.asarray(batch.column("start"))[row[s]]).astype(np.int32)
+    ends = np.searchsorted(s, rows).astype(np.int32)
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("t"), pa.ListArray.from_arrays(pa.array(ends), pa.array(start))], ["doc_id", "t", "starts"])
