@@ -1,7 +1,8 @@
-"""MinHash near-dedup by a chosen-path similarity join: documents branch by selected minwise tokens until nodes are small."""
+"""MinHash near-dedup by a chosen-path similarity join: documents branch by selected minwise tokens, and all pairs of a node are compared."""
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import math
 
@@ -13,12 +14,14 @@ from pyspark.sql import functions as F
 from tessel.llm.common import discard, free_shuffles, map_batches, save, windows, word_hashes
 
 SHINGLE, PERCENT, RECALL = 5, 80, 0.99999
-COORDINATES, BRANCHES, FIRST_DEPTH, SUBTREES = 64, 2, 2, 4
-SMALL_NODE, CROWD, CROWD_SHINGLES, MAX_DEPTH = 12, 2048, 1 << 22, 40
-SLACK = 0.2  # of agreement below the threshold: over four standard deviations of 64 coordinates
+COORDINATES, BRANCHES, DEPTH = 64, 2, 2
+SMALL_NODE, CROWD, CROWD_SHINGLES = 12, 2048, 1 << 22
 
-_A = np.random.default_rng(11).integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_B = np.random.default_rng(12).integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
+
+@functools.cache
+def _hashes(n: int) -> tuple[np.ndarray, np.ndarray]:
+    draw = lambda seed: np.random.default_rng(seed).integers(0, 1 << 63, n, dtype=np.uint64)
+    return draw(11) * np.uint64(2) + np.uint64(1), draw(12)
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
@@ -40,44 +43,66 @@ def set_id(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def minwise(s: np.ndarray) -> np.ndarray:
-    """The upper halves of the least values of the set under each of the coordinates' hash functions."""
-    least = np.full(COORDINATES, (1 << 64) - 1, np.uint64)
+def minwise(s: np.ndarray, n: int = COORDINATES) -> np.ndarray:
+    """The upper halves of the least values of the set under each of n coordinates' hash functions."""
+    least, (a, b) = np.full(n, (1 << 64) - 1, np.uint64), _hashes(n)
     for i in range(0, len(s), 2048):
-        x = s[None, i : i + 2048] * _A[:, None] + _B[:, None]
+        x = s[None, i : i + 2048] * a[:, None] + b[:, None]
         least = np.minimum(least, x.min(1))
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def sketch(least: np.ndarray) -> np.ndarray:
-    """Four bits of each coordinate, in four integers."""
-    bits = (least.view(np.uint32) >> np.uint32(9)).astype(np.uint64).reshape(4, 16) & np.uint64(15)
+    """Four bits of each of the first 64 coordinates, in four integers."""
+    bits = (least[:COORDINATES].view(np.uint32) >> np.uint32(9)).astype(np.uint64).reshape(4, 16) & np.uint64(15)
     return (bits << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(1, dtype=np.uint64).view(np.int64)
 
 
-def trees_for(recall: float, percent: int) -> int:
-    """Independent trees after which a pair at the threshold has met in a node with probability ``recall``."""
-    s, survive = percent / 100, 1.0
-    for _ in range(FIRST_DEPTH):
-        survive = 1 - (1 - s * survive) ** BRANCHES
-    return max(1, math.ceil(math.log(1 - recall) / math.log(1 - survive)))
+def tree_miss(percent: int) -> float:
+    """How likely a pair at the threshold meets in no node of a tree, whose coordinates are all different."""
+    miss = 0.0
+    for _ in range(DEPTH):
+        miss = (1 - percent / 100 * (1 - miss)) ** BRANCHES
+    return miss
+
+
+def sketch_miss(need: int, percent: int) -> float:
+    """How likely fewer than ``need`` coordinates of a pair at the threshold agree."""
+    s = percent / 100
+    return sum(math.comb(COORDINATES, i) * s**i * (1 - s) ** (COORDINATES - i) for i in range(need))
+
+
+def plan(recall: float, percent: int) -> tuple[int, int]:
+    """Trees and agreeing coordinates asked for, each of which misses at most half of 1 - ``recall`` of pairs at the threshold."""
+    bound = (1 - recall) / 2
+    miss = tree_miss(percent)
+    trees = max(1, math.ceil(math.log(bound) / math.log(miss))) if miss else 1
+    return trees, max(n for n in range(COORDINATES + 1) if sketch_miss(n, percent) <= bound)
 
 
-def branch(rows: DataFrame) -> DataFrame:
-    """(node, sid, least, ...) one level down: the node's hash selects coordinates, and their minwise tokens name the children."""
-    chosen = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.lit(BRANCHES)), lambda j: F.pmod(F.xxhash64("node", j), F.lit(COORDINATES)).cast("int"))))
-    return _child(rows.withColumn("c", chosen))
+def tree_paths(trees: int) -> list[tuple[int, ...]]:
+    """The coordinates that lead to each node of the trees' last level: no two trees, and no two parents, share one."""
+    paths, used = [], 0
+    for _ in range(trees):
+        level: list[tuple[int, ...]] = [()]
+        for _ in range(DEPTH):
+            level = [(*p, used + i * BRANCHES + j) for i, p in enumerate(level) for j in range(BRANCHES)]
+            used += len(level)
+        paths += level
+    return paths
 
 
-def branch_slowly(rows: DataFrame, percent: int) -> DataFrame:
-    """The same with 100 / ``percent`` children on average, so that pairs below the threshold thin out with depth."""
-    second = F.when(F.pmod(F.xxhash64("node", F.lit(-1)), F.lit(percent)) < 100 - percent, 2).otherwise(1)
-    chosen = F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), second), lambda j: F.pmod(F.xxhash64("node", j), F.lit(COORDINATES)).cast("int"))))
-    return _child(rows.withColumn("c", chosen))
+def branch(rows: DataFrame, paths: list[tuple[int, ...]]) -> DataFrame:
+    """A row per path: the minwise tokens of its coordinates name the node."""
+    return rows.withColumn("node", F.explode(F.array(*(F.xxhash64(F.lit(i), *(F.get("least", F.lit(c)) for c in p)) for i, p in enumerate(paths)))))
 
 
-def _child(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("node", F.xxhash64("node", "c", F.get("least", F.col("c")))).drop("c")
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """(node, n, weight, sid, ...) of large nodes, with a node for each two blocks of a node's documents, of about ``CROWD`` together: every pair meets in one."""
+    blocks = F.greatest(F.lit(2), F.ceil(F.greatest(2 * F.col("n") / CROWD, 2 * F.col("weight") / CROWD_SHINGLES)))
+    rows = rows.withColumn("blocks", blocks.cast("int")).withColumn("own", F.pmod(F.xxhash64("sid", F.lit("block")), "blocks").cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("own <> other")
+    return rows.withColumn("node", F.xxhash64("node", F.least("own", "other"), F.greatest("own", "other")))
 
 
 def agreement(a: str, b: str) -> Column:
@@ -143,19 +168,20 @@ def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]
 
 
 def likely_parts(crowds: DataFrame, need: int) -> DataFrame:
-    """Splits each crowd (node, sid, s0..s3) into the parts that likely pairs of sketches connect.
+    """Splits each crowd (node, sid, root, s0..s3) into the parts that likely pairs of sketches connect; pairs of one root (if known) are linked already.
 
     Gives (part, a, b): a likely pair of a part of up to ``SMALL_NODE`` documents (part is null), or a member
     a of a larger part (b is null). Documents without a likely partner in the crowd go.
     """
 
     def run(batches):  # noqa: ANN001, ANN202
-        node, sids, sketches = None, [], []
+        node, sids, roots, sketches = None, [], [], []
 
         def flush() -> pa.RecordBatch:
             x, n = np.array(sketches, np.int64).view(np.uint64), len(sids)
             root, rows = np.arange(n), []
-            near = [np.flatnonzero(_agree(x[i], x[i + 1 :]) >= need) + i + 1 for i in range(n)]
+            _, linked = np.unique(np.array(roots, object), return_inverse=True)
+            near = [np.flatnonzero((_agree(x[i], x[i + 1 :]) >= need) & (linked[i + 1 :] != linked[i])) + i + 1 for i in range(n)]
             for i in range(n):
                 for j in near[i].tolist():
                     a, b = _find(root, i), _find(root, j)
@@ -171,17 +197,19 @@ def likely_parts(crowds: DataFrame, need: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["part", "a", "b"])
 
         for batch in batches:
-            for own, sid, *s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for own, sid, known, *s in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if own != node:
                     if sids:
                         yield flush()
-                    node, sids, sketches = own, [], []
+                    node, sids, roots, sketches = own, [], [], []
                 sids.append(sid)
+                roots.append(known or sid)
                 sketches.append(s)
         if sids:
             yield flush()
 
     n = int(crowds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    crowds = crowds.select("node", "sid", "root", "s0", "s1", "s2", "s3")
     return crowds.repartition(n, "node").sortWithinPartitions("node", "sid").mapInArrow(run, "part long, a binary, b binary")
 
 
@@ -226,6 +254,25 @@ def crowd_links(crowds: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return crowds.join(full, "sid").repartition(n, "node").sortWithinPartitions("node", "sid").mapInArrow(run, "a binary, b binary")
 
 
+def settle(pairs: DataFrame | None, parts: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+    """The links (a, b) that full sets confirm among likely pairs and within likely parts."""
+    parts = save(parts, "parts")
+    likely = parts.where("part is null").select("a", "b")
+    pairs = save((likely if pairs is None else pairs.union(likely)).distinct(), "pairs")
+    members = parts.where("part is not null").select(F.col("part").alias("node"), F.col("a").alias("sid"))
+    same = members.groupBy("node").agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("sid"), F.lit(1 << 40))).alias("mark")).groupBy("n", "mark").agg(F.min("node").alias("node"))
+    crowds = save(members.join(same.select("node"), "node", "left_semi"), "crowds")
+    asked = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(crowds.select("sid"))
+    full = full_sets(asked, docs, reps, k)
+    found = verified(pairs, full, percent)
+    if not crowds.isEmpty():
+        found = found.union(crowd_links(crowds, full, percent))
+    found = save(found.distinct(), "links")
+    discard(full, pairs, crowds, parts)
+    free_shuffles(docs.sparkSession)
+    return found
+
+
 def components(links: DataFrame) -> DataFrame:
     """(sid, root): the least sid of each connected component, by least labels of neighbours with pointer jumping."""
     both = save(links.union(links.select("b", "a")).toDF("v", "u").distinct(), "edges")
@@ -244,75 +291,53 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     """``docs`` (doc_id, text) -> (doc_id, n_shingles, component_id), a row per row.
 
     Documents with 100 * intersection >= ``percent`` * union of their shingle sets are linked; component_id
-    is the least doc_id that links reach. Texts with equal sets are one node. In each of enough trees that
-    ``recall`` of pairs at the threshold meet, every node sends its documents to children by the minwise
-    tokens that its own hash selects. Nodes of up to ``SMALL_NODE`` documents compare all pairs of sketches
+    is the least doc_id that links reach. Texts with equal sets are one node. Every tree sends each document
+    to the nodes that its minwise tokens name. Nodes of up to ``SMALL_NODE`` documents compare all pairs of sketches
     and confirm the likely ones on full sets; nodes of up to ``CROWD`` split by sketches
     into likely parts, and each part compares all full sets at once and returns what spans its components, so a group of near copies never becomes a row for each pair. Larger
-    nodes compare their documents with one leader and, unless that makes them one component, branch on, in
-    ``SUBTREES`` independent ways, with so few children that pairs below the threshold thin out. No
-    document is ever left out of a node, and nothing but counts comes to the driver.
+    nodes compare their documents with one leader and, unless that makes them one component, in blocks: every two
+    blocks are such a crowd, in which pairs of one component are left out. So a pair at the threshold that meets in any
+    node, however large, is compared; ``plan`` chooses trees and sketches that miss 1 - ``recall`` of such pairs at most.
+    No document is ever left out of a node, and nothing but counts comes to the driver.
 
     Null or empty text has no shingles, no links, and its own doc_id. Rows that repeat a doc_id are rows of
     one document; rows without doc_id link others, but give no component its id (alone they have null).
     """
 
+    trees, need = plan(recall, percent)
+    paths = tree_paths(trees)
+    width = max(COORDINATES, 1 + max(map(max, paths)))
+
     def sign(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = shingle_sets(batch.column("text"), shingle)
-        least = np.array([minwise(s) for s in own], np.int32).reshape(len(own), COORDINATES)
+        least = np.array([minwise(s, width) for s in own], np.int32).reshape(len(own), width)
         sketches = np.array([sketch(x) for x in least], np.int64).reshape(len(own), 4)
-        flat = pa.FixedSizeListArray.from_arrays(pa.array(least.ravel()), COORDINATES).cast(pa.list_(pa.int32()))
+        flat = pa.FixedSizeListArray.from_arrays(pa.array(least.ravel()), width).cast(pa.list_(pa.int32()))
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in own], pa.int64()), pa.array([set_id(s) for s in own], pa.binary()), flat, *(pa.array(sketches[:, i]) for i in range(4))], ["doc_id", "n_shingles", "sid", "least", "s0", "s1", "s2", "s3"])
 
     base = save(map_batches(docs.select(F.col("doc_id").cast("long"), "text"), sign, "doc_id long, n_shingles long, sid binary, least array<int>, s0 long, s1 long, s2 long, s3 long"), "signed")
     some = base.where("n_shingles > 0")
     reps = save(some.groupBy("sid").agg(F.min("doc_id").alias("doc"), *(F.first(c).alias(c) for c in ("n_shingles", "least", "s0", "s1", "s2", "s3"))), "sets_of_docs")
     free_shuffles(docs.sparkSession)
-    need = math.floor(COORDINATES * (percent / 100 - SLACK))
 
-    rows = reps.withColumn("node", F.explode(F.transform(F.sequence(F.lit(1), F.lit(trees_for(recall, percent))), lambda t: F.xxhash64(F.lit("tree"), t))))
-    for _ in range(FIRST_DEPTH):
-        rows = branch(rows)
-    links, depth = None, FIRST_DEPTH
-    while True:
-        rows = save(rows.select("node", "sid", "n_shingles", "doc", "s0", "s1", "s2", "s3"), "nodes")
-        leader = F.xxhash64("sid", F.lit(depth)) if depth > FIRST_DEPTH else F.col("doc")
-        sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"), F.sum(F.pmod(F.xxhash64("sid"), F.lit(1 << 40))).alias("mark"), F.min(F.struct(leader, "sid", "s0", "s1", "s2", "s3")).alias("first"))
-        sizes = save(sizes.where("n > 1"), "node_sizes")
-        fits = (F.col("n") <= CROWD) & (F.col("weight") <= CROWD_SHINGLES) | F.lit(depth >= MAX_DEPTH)
-        small = rows.join(sizes.where(F.col("n") <= SMALL_NODE).select("node"), "node", "left_semi")
-        x, y = small.alias("x"), small.alias("y")
-        pairs = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.sid") < F.col("y.sid")) & (agreement("x", "y") >= need)).select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
-        large = sizes.where((F.col("n") > SMALL_NODE) & ~fits)
-        star = rows.alias("x").join(large.select("node", "first.*").alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.sid") != F.col("y.sid")) & (agreement("x", "y") >= need))
-        pairs = pairs.union(star.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")))
-        crowded = sizes.where((F.col("n") > SMALL_NODE) & fits).groupBy("n", "weight", "mark").agg(F.min("node").alias("node"))  # one of those with the same documents
-        parts = save(likely_parts(rows.select("node", "sid", "s0", "s1", "s2", "s3").join(crowded.select("node"), "node", "left_semi"), need), "parts")
-        pairs = pairs.union(parts.where("part is null").select("a", "b")).distinct()
-        members = parts.where("part is not null").select(F.col("part").alias("node"), F.col("a").alias("sid"))
-        same = members.groupBy("node").agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("sid"), F.lit(1 << 40))).alias("mark")).groupBy("n", "mark").agg(F.min("node").alias("node"))
-        crowds = save(members.join(same.select("node"), "node", "left_semi"), "crowds")
-        pairs = save(pairs, "pairs")
-        asked = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(crowds.select("sid"))
-        full = full_sets(asked, docs, reps, shingle)
-        found = verified(pairs, full, percent)
-        if not crowds.isEmpty():
-            found = found.union(crowd_links(crowds, full, percent))
-        found = save(found.distinct(), "links")
-        links = found if links is None else links.union(found)
-        discard(full, pairs, crowds, parts)
-        last = large.isEmpty()
-        free_shuffles(docs.sparkSession)
-        if last:
-            break
+    rows = save(branch(reps, paths).select("node", "sid", "n_shingles", "doc", "s0", "s1", "s2", "s3"), "nodes")
+    sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"), F.sum(F.pmod(F.xxhash64("sid"), F.lit(1 << 40))).alias("mark"), F.min(F.struct("doc", "sid", "s0", "s1", "s2", "s3")).alias("first"))
+    sizes = save(sizes.where("n > 1"), "node_sizes")
+    fits = (F.col("n") <= CROWD) & (F.col("weight") <= CROWD_SHINGLES)
+    small = rows.join(sizes.where(F.col("n") <= SMALL_NODE).select("node"), "node", "left_semi")
+    x, y = small.alias("x"), small.alias("y")
+    pairs = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.sid") < F.col("y.sid")) & (agreement("x", "y") >= need)).select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
+    distinct = sizes.where(F.col("n") > SMALL_NODE).groupBy("n", "weight", "mark").agg(F.min(F.struct("node", "first")).alias("one")).select("n", "weight", "one.*")  # one of those with the same documents
+    large = save(distinct.where(~fits), "large")
+    star = rows.alias("x").join(large.select("node", "first.*").alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.sid") != F.col("y.sid")) & (agreement("x", "y") >= need))
+    pairs = pairs.union(star.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")))
+    crowded = rows.join(distinct.where(fits).select("node"), "node", "left_semi").withColumn("root", F.lit(None).cast("binary"))
+    links = settle(pairs, likely_parts(crowded, need), docs, reps, shingle, percent)
+    if not large.isEmpty():
         roots = components(links)
-        joined = rows.join(large.select("node"), "node", "left_semi").join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-        mixed = joined.groupBy("node").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("node")
-        deeper = joined.join(mixed, "node", "left_semi").select("node", "sid").join(reps, "sid")
-        if depth == FIRST_DEPTH:
-            deeper = deeper.withColumn("node", F.explode(F.transform(F.sequence(F.lit(1), F.lit(SUBTREES)), lambda t: F.xxhash64("node", F.lit("subtree"), t))))
-        rows = branch_slowly(deeper, percent)
-        depth += 1
+        joined = rows.join(large.select("node", "n", "weight"), "node").join(roots, "sid", "left")
+        whole = joined.groupBy("node").agg(F.min(F.coalesce("root", "sid")).alias("x"), F.max(F.coalesce("root", "sid")).alias("y")).where("x = y").select("node")
+        links = links.union(settle(None, likely_parts(in_blocks(joined.join(whole, "node", "left_anti")), need), docs, reps, shingle, percent))
     roots = components(links)
     copies = some.groupBy("sid").agg(F.min("doc_id").alias("first"))
     owned = copies.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))

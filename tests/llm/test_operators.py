@@ -254,3 +254,27 @@ def test_pipeline_keeps_columns_and_clean_documents(spark):
     whole = p.run(spark, SF)
     assert 0 < whole.count() <= docs.count()
     assert whole.agg(F.max(F.col("taken") - 3 * F.col("size"))).first()[0] <= 0
+
+
+def test_trees_meet_the_recall_with_coordinates_of_their_own():
+    for percent in (50, 80, 85, 95):
+        trees, need = chosen_path.plan(0.99999, percent)
+        assert chosen_path.tree_miss(percent) ** trees + chosen_path.sketch_miss(need, percent) <= 1e-5
+        paths = chosen_path.tree_paths(trees)
+        steps = {p[:i] + (c,) for p in paths for i, c in enumerate(p)}
+        assert len({s[-1] for s in steps}) == len(steps)
+
+
+def test_near_duplicates_in_large_nodes_are_all_found(spark, monkeypatch):
+    """Pairs just above the threshold, all of whose documents share most of their words, so that nodes are far larger than a crowd."""
+    r, rows = random.Random(8), []
+    shared = [f"w{i}" for i in range(150)]
+    for i in range(150):
+        own = [f"p{i}x{j}" for j in range(50)]
+        rows += [(2 * i, " ".join(shared + own)), (2 * i + 1, " ".join(shared + own[: r.randrange(30, 36)] + [f"q{i}x{j}" for j in range(15)]))]
+    sets = [{tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)} for _, t in rows]
+    linked = lambda a, b: 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])
+    assert not any(linked(a, b) for a in range(300) for b in range(a) if a // 2 != b // 2)
+    expected = {(a, a - a % 2 if linked(a - a % 2, a - a % 2 + 1) else a) for a in range(300)}
+    monkeypatch.setattr(chosen_path, "CROWD", 16)
+    assert {(x.doc_id, x.component_id) for x in chosen_path.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == expected
