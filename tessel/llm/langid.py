@@ -17,6 +17,7 @@ from tessel.llm.common import map_batches
 #: doc_id), words kept of a language, the longest n-gram, n-grams kept of a length and language.
 SAMPLE_DOCS, WORDS, LONGEST, GRAMS = 4_000, 20_000, 5, 20_000
 CACHE = 300_000
+NO_EVIDENCE = 0.25  # the highest score of a prediction by class shares alone
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -27,6 +28,7 @@ class Model:
     word_scores: np.ndarray
     grams: dict[str, int]
     gram_scores: np.ndarray
+    prior: np.ndarray | None = None  # shares of the languages among the labelled rows; equal ones if not given
 
     def __post_init__(self) -> None:
         self.cache: dict[str, np.ndarray | None] = {}
@@ -51,14 +53,19 @@ class Model:
         n = min(LONGEST, len(padded))
         for a in range(len(padded) - n + 1):
             cover(a, a + n)
-        score = self.gram_scores[found].mean(0) if found else None
+        edge = self.grams.get("_")  # tells nothing of the letters
+        score = self.gram_scores[found].mean(0) if any(i != edge for i in found) else None
         if len(self.cache) >= CACHE:
             self.cache.clear()
         self.cache[word] = score
         return score
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """A learned language with its share of the likelihood (0 to 1); ``und`` and 0 without letters or evidence."""
+        """A learned language with its share of the likelihood (0 to 1); ``und`` and 0 without letters or with an empty model.
+
+        A sole learned language has all the likelihood. Letters that tell nothing get the most frequent language with
+        a score of at most ``NO_EVIDENCE``.
+        """
         counts = Counter(_WORD.findall((text or "").lower()))
         for word in [w for w in counts if not w.isalpha()]:  # holds numerals that are no digits
             n = counts.pop(word)
@@ -66,6 +73,8 @@ class Model:
                 counts[part] += n
         if not counts or not self.langs:
             return "und", 0.0
+        if len(self.langs) == 1:
+            return self.langs[0], 1.0
         known, times, total = [], [], np.zeros(len(self.langs))
         for word, n in counts.items():
             if (i := self.words.get(word)) is not None:
@@ -76,7 +85,9 @@ class Model:
         if known:
             total += np.asarray(times, np.float64) @ self.word_scores[known]
         if not total.any():
-            return "und", 0.0
+            prior = np.full(len(self.langs), 1 / len(self.langs)) if self.prior is None else self.prior
+            best = int(prior.argmax())
+            return self.langs[best], min(NO_EVIDENCE, float(prior[best]))
         share = np.exp(total - total.max())
         best = int(share.argmax())
         return self.langs[best], float(share[best] / share.sum())
@@ -121,7 +132,8 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, words: int = WORDS) -
         own, table = _log_shares(top, sum(counts.values(), np.zeros(len(langs))))
         grams |= {k: i + len(grams) for k, i in own.items()}
         tables.append(table)
-    return Model(langs, index, scores, grams, np.concatenate(tables))
+    shares = np.array([n for _, n in known], np.float64)
+    return Model(langs, index, scores, grams, np.concatenate(tables), shares / shares.sum())
 
 
 def held_out():
@@ -131,8 +143,9 @@ def held_out():
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred and score per row, from text alone (columns of these names are replaced).
 
-    Null text and text without a letter or any known n-gram is ``und`` with score 0; ties go to the first
-    language in code point order; with an empty model all is ``und``.
+    Null text and text without a letter is ``und`` with score 0; letters without a known n-gram get the most
+    frequent learned language with a low score; ties go to the first language in code point order; with an
+    empty model all is ``und``.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.drop("lang_pred", "score")

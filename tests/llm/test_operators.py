@@ -278,3 +278,18 @@ def test_near_duplicates_in_large_nodes_are_all_found(spark, monkeypatch):
     expected = {(a, a - a % 2 if linked(a - a % 2, a - a % 2 + 1) else a) for a in range(300)}
     monkeypatch.setattr(chosen_path, "CROWD", 16)
     assert {(x.doc_id, x.component_id) for x in chosen_path.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == expected
+
+
+def test_language_without_evidence_and_with_one_learned_language(spark):
+    import corpus_pipeline as p
+
+    rows = [(i, f"plain words number {WORDS[i % 15]} again", "en", 7) for i in range(40)] + [(100, None, "en", 7), (101, "12 ½", "en", 7), (102, "пример", None, 7)]
+    one = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_chars long")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(one, langid.learn(one)).collect()}
+    assert got == {i: ("und", 0.0) if i in (100, 101) else ("en", 1.0) for i, *_ in rows}
+    assert {r.doc_id for r in p.language(spark, one, SF).collect()} == {i for i, *_ in rows} - {100, 101}
+    two = one.union(spark.createDataFrame([(200 + i, f"einfache woerter {WORDS[i % 15]} wieder", "de", 7) for i in range(12)], one.schema))
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(two, langid.learn(two)).collect()}
+    assert got[102][0] == "en" and 0 < got[102][1] < 0.5
+    kept = {r.doc_id for r in p.language(spark, two, SF).collect()}
+    assert 102 not in kept and len(kept) == 52
