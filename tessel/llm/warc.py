@@ -117,33 +117,62 @@ def parse_record(data: memoryview | bytes, at: int) -> tuple[dict, int] | str:
     }, begin + size + 4
 
 
-def parse_member(data: memoryview, at: int) -> tuple[list[dict], int] | str:
-    """The records of the gzip member at ``at`` with the offset after it, or why it fails."""
-    z = zlib.decompressobj(31)
-    parts, i = [], at
-    try:
-        while not z.eof and i < len(data):
-            parts.append(z.decompress(data[i : i + 65536]))
-            i += 65536
-    except zlib.error as e:
-        return f"gzip: {str(e)[:60]}"
-    if not z.eof:
-        return "gzip: truncated"
-    out, content, k = [], b"".join(parts), 0
+def _inflate(data: memoryview, at: int, until: int | None = None) -> tuple[bytes, int, str | None]:
+    """What the gzip member at ``at`` holds as far as it can be read (or its first ``until`` bytes at least), the offset after what was read, and why it stopped."""
+    z, out, size, i = zlib.decompressobj(31), [], 0, at
+    step = 65536
+    while not z.eof and i < len(data) and (until is None or size < until):
+        before = z.copy()
+        try:
+            part = z.decompress(data[i : i + step])
+        except zlib.error as e:
+            if step == 1:
+                return b"".join(out), i, f"gzip: {str(e)[:60]}"
+            z, step = before, 1  # byte by byte up to the damage
+            continue
+        if step > 1 and until is not None and size + len(part) >= until:
+            z, step = before, 1
+            continue
+        out.append(part)
+        size += len(part)
+        i += step
+    end = min(i, len(data)) - len(z.unused_data)
+    return b"".join(out), end, None if z.eof or until is not None else "gzip: truncated"
+
+
+def parse_member(data: memoryview, at: int) -> tuple[list[dict], list[str], int, str | None] | str:
+    """The valid records of the gzip member at ``at``, the gaps between them, the offset after it and why it breaks off there; or why it has none.
+
+    Within the content, too, the search goes on for the next version line after a failed check. Of a damaged
+    member the offset is that after the last valid record.
+    """
+    content, end, damage = _inflate(data, at)
+    out, gaps, k, good, why = [], [], 0, 0, None
     while k < len(content):
         found = parse_record(content, k)
         if isinstance(found, str):
-            return found
+            why = why or found
+            k = content.find(VERSION, k + 1)
+            k = len(content) if k < 0 else k
+            continue
+        if why:
+            gaps.append(f"{why} (bytes {good} to {k} of the member's content)")
+            why = None
         out.append(found[0])
-        k = found[1]
-    return out, min(i, len(data)) - len(z.unused_data)
+        k = good = found[1]
+    if not out and (damage or why):
+        return damage or why
+    if damage:
+        return out, gaps, _inflate(data, at, good)[1], damage
+    return out, gaps + ([f"{why} (bytes {good} to {len(content)} of the member's content)"] if why else []), end, None
 
 
 def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, list[dict]]]:
     """(start, end, reason, records) in order of place: whole records without a reason, quarantined gaps with the first one.
 
     Where a check fails, the search goes on byte by byte for the next gzip member or version line that
-    passes all checks; whatever lies before it is the gap.
+    passes all checks; whatever lies before it is the gap. Gaps within a member that has valid records have the
+    member's place.
     """
     view, at, gap, why = memoryview(data), 0, None, None
     while at < len(data):
@@ -163,8 +192,15 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, str | None, list[dict]]]:
         if gap is not None:
             yield gap, at, why, []
             gap = None
-        yield at, found[1], None, found[0] if isinstance(found[0], list) else [found[0]]
-        at = found[1]
+        if isinstance(found[0], dict):
+            found = [found[0]], [], found[1], None
+        records, inner, end, damage = found
+        yield at, end, None, records
+        for reason in inner:
+            yield at, end, reason, []
+        if damage:
+            gap, why = end, damage
+        at = end
     if gap is not None:
         yield gap, len(data), why, []
 

@@ -293,3 +293,21 @@ def test_language_without_evidence_and_with_one_learned_language(spark):
     assert got[102][0] == "en" and 0 < got[102][1] < 0.5
     kept = {r.doc_id for r in p.language(spark, two, SF).collect()}
     assert 102 not in kept and len(kept) == 52
+
+
+def test_members_of_many_records_are_salvaged():
+    made = [warc.record("response", f"urn:page:{i}", "http://x", hashlib.sha256(p).hexdigest(), p, len(p), None) for i, p in enumerate(random.Random(i).randbytes(3000) for i in range(6))]
+    ids = lambda data: [r["record_id"][9:] for _, _, _, x in warc.salvage(data) for r in x]
+    gaps = lambda data: [(s, e, why) for s, e, why, _ in warc.salvage(data) if why]
+    joined = b"".join(made)
+    bad = warc.member(joined.replace(made[2], made[2][:-9] + b"?" * 5 + made[2][-4:]))
+    assert ids(bad + warc.member(made[5])) == ["0", "1", "3", "4", "5", "5"]
+    assert [(s, e) for s, e, _ in gaps(bad)] == [(0, len(bad) - bad.endswith(warc._EMPTY_MEMBER) * len(warc._EMPTY_MEMBER))]
+    whole = warc.member(joined)
+    cut = whole[: len(whole) * 7 // 10]
+    assert ids(cut) == ["0", "1", "2", "3"] and [(e, why) for _, e, why in gaps(cut)] == [(len(cut), "gzip: truncated")]
+    hurt = whole[: len(whole) // 2] + b"\xff" * 4000
+    assert ids(hurt + warc.member(made[5]) + made[4]) == ["0", "1", "5", "4"]
+    c = zlib.compressobj(0, zlib.DEFLATED, 31)  # records in the clear are not found twice
+    clear = c.compress(joined) + c.flush()
+    assert ids(clear[:-4]) == list("012345")
