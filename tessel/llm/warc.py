@@ -83,9 +83,11 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
 
 def parse_record(data: memoryview | bytes, at: int) -> tuple[dict, int] | str:
     """The record at ``at`` with the offset after it, or why it fails."""
-    end = bytes(data[at : at + 65536]).find(b"\r\n\r\n")
-    if end < 0:
-        return "header without end"
+    size = 65536
+    while (end := bytes(data[at : at + size]).find(b"\r\n\r\n")) < 0:
+        if at + size >= len(data):
+            return "header without end"
+        size *= 4
     lines = bytes(data[at : at + end]).split(b"\r\n")
     if not lines[0].startswith(VERSION):
         return "no version line"

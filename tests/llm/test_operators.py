@@ -311,3 +311,9 @@ def test_members_of_many_records_are_salvaged():
     c = zlib.compressobj(0, zlib.DEFLATED, 31)  # records in the clear are not found twice
     clear = c.compress(joined) + c.flush()
     assert ids(clear[:-4]) == list("012345")
+
+
+def test_a_page_with_a_very_long_url_is_read_back(spark):
+    url = "data:text/html," + "x" * 200_000
+    warc.write_archives(spark.createDataFrame([(1, url, "<p>a"), (2, "u", "b")], "page_id long, url string, html string"), path := scratch_path(spark, "long"))
+    assert {(r.kind, r.record_id, r.target_uri) for r in warc.read_archives(spark, path).collect()} == {("record", "urn:page:1", url), ("record", "urn:page:2", "u")}
