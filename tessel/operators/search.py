@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessel.functions.vectors import dot
+from tessel.functions.vectors import dot, normalize
 
 SAMPLE_ROWS = 20_000  # the most vectors that centroids are fitted on; every row is indexed
 
@@ -36,10 +36,11 @@ def fit_sample(rows: DataFrame, key: str, vector: str) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
-def ivf_search(rows: DataFrame, queries: DataFrame, key: str, vector: str, k: int, probes: int, centroids: np.ndarray, codebooks: list[np.ndarray] | None = None) -> DataFrame:
+def ivf_search(rows: DataFrame, queries: DataFrame, key: str, vector: str, k: int, probes: int, centroids: np.ndarray, codebooks: list[np.ndarray] | None = None, shortlist: int = 0) -> DataFrame:
     """(query, key, score): the best k for each query among the rows of its ``probes`` nearest lists, by cosine.
 
-    Rows and queries meet in a join on the list. With ``codebooks`` rows are scored by their quantised parts.
+    Rows and queries meet in a join on the list. With ``codebooks`` rows are scored by their quantised parts, and the
+    best ``shortlist`` of them (if more than k) once more by their full vectors.
     """
 
     def unit(pdf: pd.DataFrame) -> np.ndarray:
@@ -65,7 +66,13 @@ def ivf_search(rows: DataFrame, queries: DataFrame, key: str, vector: str, k: in
     met = asked.alias("q").join(indexed.alias("r"), F.col("q.list") == F.col("r.list")).select(F.col("q.id").alias("query"), F.col("r.id").alias(key), dot(F.col("q.v"), F.col("r.v")).alias("score"))
     from tessel.operators.select import top_n
 
-    return top_n(met, ["query"], [F.desc("score"), F.col(key)], k)
+    order = [F.desc("score"), F.col(key)]
+    if codebooks is None or shortlist <= k:
+        return top_n(met, ["query"], order, k)
+    full = lambda df, name, v: df.where(F.col(vector).isNotNull()).select(F.col(key).alias(name), normalize(F.col(vector)).alias(v))
+    near = top_n(met, ["query"], order, shortlist).select("query", key)
+    again = near.join(full(rows, key, "_x"), key).join(full(queries, "query", "_y"), "query")
+    return top_n(again.select("query", key, dot(F.col("_x"), F.col("_y")).alias("score")), ["query"], order, k)
 
 
 def recall(found: DataFrame, exact: DataFrame, key: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -345,17 +346,23 @@ def label_list_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded(spark, sf_dir).select("feature", "vec_id").where(F.col("feature").isin(5, 17))
 
 
+PROBED = 0.7  # share of the lists that is measured to reach a recall of 0.9
+SHORTLIST, SHORTLIST_SHARE = 200, 50  # quantised candidates scored again by their full vectors: 200, or a 50th of the rows
+
+
 def _recall(spark: SparkSession, sf_dir: str, probes: tuple[int, ...], parts: int | None) -> DataFrame:
     e = read(spark, sf_dir, "embeddings")
     asked = e.where("vec_id % 50 = 0")
-    lists = max(1, int(e.count() ** 0.5))
+    rows = e.count()
+    lists = max(1, int(rows**0.5))
+    probes = sorted({*probes, math.ceil(PROBED * lists)})
     x = search.fit_sample(e, "vec_id", "embedding")
     centroids = search.kmeans(x, lists)
     books = [search.kmeans(p, 64) for p in np.split(x, parts, axis=1)] if parts else None
     exact = search.ivf_search(e, asked, "vec_id", "embedding", 10, 1, np.zeros((1, x.shape[1])))
     out = None
     for n in probes:
-        found = search.ivf_search(e, asked, "vec_id", "embedding", 10, min(n, lists), centroids, books)
+        found = search.ivf_search(e, asked, "vec_id", "embedding", 10, min(n, lists), centroids, books, max(SHORTLIST, rows // SHORTLIST_SHARE))
         row = search.recall(found, exact, "vec_id").select(F.lit(n).alias("probes"), F.lit(lists).alias("lists"), "recall", "pairs")
         out = row if out is None else out.union(row)
     return out

@@ -121,3 +121,10 @@ def test_arrow_files(spark, tmp_path):
     with pa.OSFile(str(tmp_path / "a.arrow"), "wb") as f, pa.ipc.new_file(f, t.schema) as w:
         w.write_table(t)
     assert tables.read_arrow(spark, f"file:{tmp_path}/a.arrow", "id long").count() == 2
+
+
+@pytest.mark.parametrize("name", ["ann_ivf_recall", "ann_pq_recall"])
+def test_recall_of_the_index(spark, name):
+    rows = catalogue.QUERIES[name](spark, "/root/testdata/sf0.01").collect()
+    assert all(r.recall >= 0.9 for r in rows if r.probes >= 0.7 * r.lists)
+    assert sum(r.probes >= 0.7 * r.lists for r in rows) == 2
