@@ -36,11 +36,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a passage of a benchmark item go."""
+    """Rows with a passage of a benchmark item go, each by its own text, whatever its doc_id."""
     release(spark)
-    found = winnow.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("doc_id"), "text")
+    found = winnow.contamination(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(~F.col("contaminated")).select("doc_id.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

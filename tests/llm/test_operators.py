@@ -317,3 +317,13 @@ def test_a_page_with_a_very_long_url_is_read_back(spark):
     url = "data:text/html," + "x" * 200_000
     warc.write_archives(spark.createDataFrame([(1, url, "<p>a"), (2, "u", "b")], "page_id long, url string, html string"), path := scratch_path(spark, "long"))
     assert {(r.kind, r.record_id, r.target_uri) for r in warc.read_archives(spark, path).collect()} == {("record", "urn:page:1", url), ("record", "urn:page:2", "u")}
+
+
+def test_decontamination_judges_each_row(spark, tmp_path):
+    import corpus_pipeline as p
+
+    passage = " ".join(f"item{i}" for i in range(20))
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"before {passage} after", 1), (None, "clean text", 2), (5, passage, 3), (5, "clean too", 4), (6, None, 5)]
+    left = p.decontaminate(spark, spark.createDataFrame(rows, "doc_id long, text string, n_chars long"), str(tmp_path)).collect()
+    assert {tuple(r) for r in left} == {rows[1], rows[3], rows[4]} and len(left) == 3
