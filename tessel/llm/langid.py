@@ -40,7 +40,7 @@ class Model:
         """The mean score of the word's longest known n-grams; parts without one fall back to shorter ones."""
         if word in self.cache:
             return self.cache[word]
-        padded, found = f"_{word[:64]}_", []
+        padded, found = f"_{word}_", []
 
         def cover(a: int, b: int) -> None:
             if (i := self.grams.get(padded[a:b])) is not None:
@@ -55,9 +55,10 @@ class Model:
             cover(a, a + n)
         edge = self.grams.get("_")  # tells nothing of the letters
         score = self.gram_scores[found].mean(0) if any(i != edge for i in found) else None
-        if len(self.cache) >= CACHE:
-            self.cache.clear()
-        self.cache[word] = score
+        if len(word) <= 64:  # longer runs hardly come again
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            self.cache[word] = score
         return score
 
     def predict(self, text: str | None) -> tuple[str, float]:

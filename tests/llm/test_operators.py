@@ -327,3 +327,8 @@ def test_decontamination_judges_each_row(spark, tmp_path):
     rows = [(None, f"before {passage} after", 1), (None, "clean text", 2), (5, passage, 3), (5, "clean too", 4), (6, None, 5)]
     left = p.decontaminate(spark, spark.createDataFrame(rows, "doc_id long, text string, n_chars long"), str(tmp_path)).collect()
     assert {tuple(r) for r in left} == {rows[1], rows[3], rows[4]} and len(left) == 3
+
+
+def test_language_of_a_long_run_is_told_by_all_of_it():
+    model = langid.Model(["de", "en"], {}, np.zeros((0, 2)), {"a": 0, "b": 1}, np.array([[0.5, -0.5], [-0.5, 0.5]]))
+    assert [model.predict(t)[0] for t in ("a" * 64, "a" * 64 + "b" * 200)] == ["de", "en"]
