@@ -198,7 +198,10 @@ def test_personal_data_base_equals_plain(spark):
     assert {"ssn", "phone"} <= {s.kind for row in pii.find_personal_data(df).where("doc_id = 308").collect() for s in row.spans}
 
 
-def test_passages_equal_plain(docs):
+@pytest.mark.parametrize(("most", "shift"), [(40_000, 0), (3, 1 << 40)])
+def test_passages_equal_plain(docs, monkeypatch, most, shift):
+    if shift:  # ids of more than 32 bits, and shards of several automata
+        docs = docs.withColumn("doc_id", F.col("doc_id") + shift)
     rows = [(r.doc_id, (r.text or "").encode().split()) for r in docs.collect()]
     first = {}
     for i, w in rows:
@@ -210,9 +213,32 @@ def test_passages_equal_plain(docs):
         gone = {j for k in range(len(w) - 12) if i is not None and first[tuple(w[k : k + 13])] < i for j in range(k, k + 13)}
         expected.append((i, b" ".join(x for j, x in enumerate(w) if j not in gone).decode(), len(w), len(gone)))
     assert sum(e[3] for e in expected) > 50
+    parts = phrases.automaton_parts
+    monkeypatch.setattr(phrases, "automaton_parts", lambda entries, window: parts(entries, window, most))
     assert sorted(map(repr, expected)) == sorted(repr(tuple(r)) for r in phrases.remove_repeated_passages(docs).collect())
 
 
+def test_the_automata_alone_decide_which_passages_go():
+    import ahocorasick
+    import pyarrow as pa
+
+    h = np.random.default_rng(4).integers(0, 1 << 63, 60).astype(np.uint64)
+    entries = pa.table({"shard": [0, 0], "passage": [h[:20].tobytes(), h[30:43].tobytes()], "first": [1 << 40, 9]})
+    text = np.concatenate((h[25:29], h[:13], h[50:], h[30:43], h[2:20]))
+    batch = pa.RecordBatch.from_pylist([{"doc_id": i, "t": {"x": 1, "y": 1}, "start": 100, "words": text.tobytes()} for i in (1 << 50, 10, 9)])
+    for most in (1, 3, 100):
+        found = [[], [], []]
+        for part in phrases.automaton_parts(entries, 13, most):
+            compiled = phrases.compile_passages(*part, 13)
+            for own, spans in zip(found, phrases.occurrences(batch, compiled, 13).column("spans").to_pylist(), strict=True):
+                own += [range(s["a"], s["b"]) for s in spans]
+            blind = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+            blind.add_word("no such key", 0)
+            blind.make_automaton()
+            assert not any(phrases.occurrences(batch, (blind, *compiled[1:]), 13).column("spans").to_pylist())
+        assert [{i for s in own for i in s} for own in found] == [{*range(104, 117), *range(127, 158)}, set(range(127, 140)), set()]
+
+
 @pytest.mark.parametrize("sent", [1 << 20, 0])
 def test_lines_equal_plain(docs, sent):
     rows = docs.collect()
