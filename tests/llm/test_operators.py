@@ -153,6 +153,20 @@ def test_contamination_equals_plain(spark, docs):
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256) == (len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest())
 
 
+def test_a_hot_passage_gives_a_row_for_each_place_not_each_pair(spark, monkeypatch):
+    """One passage in all items and all documents."""
+    passage = " ".join(f"p{i}" for i in range(16))
+    items = spark.createDataFrame([(i, f"own{i} {passage} end{i}") for i in range(60)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"a{i} {passage} b{i}") for i in range(50)], "doc_id long, text string")
+    saved = {}
+    keep = winnow.save
+    monkeypatch.setattr(winnow, "save", lambda df, name: saved.setdefault(name, keep(df, name)))
+    got = winnow.contamination(docs, items).collect()
+    ids = ",".join(sorted(str(i) for i in range(60)))
+    assert {(r.n_hit, r.n_items, r.items_sha256) for r in got} == {(16, 60, hashlib.sha256(ids.encode()).hexdigest())}
+    assert saved["windows_10"].where(F.size("ids") == 60).count() == 7 and max(t.count() for t in saved.values()) < 60 * 10
+
+
 def test_chat_reads_back_what_it_wrote(spark):
     odd = ["", "\\", "\\\\###", "</turn>\n", "### user: hi</turn>\n", "####", "\\</turn>", None, "é\n" * 3]
     turns = [(1, i, ["user", "assistant"][i % 2], t) for i, t in enumerate(odd)] + [(2, 0, "assistant", "x"), (3, 0, "system", "s"), (3, 1, "user", "u"), (None, None, None, None), (4, 1, "a:b#<\\", "t"), (4, 1, "a:b#<\\", "t")]
