@@ -28,7 +28,7 @@ def grams(w: Column, k: int) -> Column:
 
 
 def minima(g: Column, span: int) -> Column:
-    """The distinct minimum hashes of ``span`` consecutive ones: the winnowed fingerprints."""
+    """The distinct minimum hashes of ``span`` consecutive ones: the winnowed fingerprints. ``g`` must be a column of its own, or each step makes it anew."""
     return F.array_distinct(F.transform(up_to(F.size(g) - span), lambda i: F.array_min(F.slice(g, i + 1, span))))
 
 
@@ -49,7 +49,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     span = window - gram + 1
     items = save(benchmark.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("iw")).where(F.size("iw") > 0), "items")
     long_items = items.where(F.size("iw") >= window)
-    prints = save(long_items.select(F.explode(minima(grams(F.col("iw"), gram), span)).alias("fp")).distinct(), "prints")
+    prints = save(long_items.select(grams(F.col("iw"), gram).alias("g")).select(F.explode(minima(F.col("g"), span)).alias("fp")).distinct(), "prints")
     cuts = lambda w, m: F.transform(up_to(F.size(w) - m), lambda s: F.slice(w, s + 1, m))
 
     def listed(rows: DataFrame, m: int) -> DataFrame:
@@ -63,8 +63,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
     named = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
     scan = named.select("doc_id", "t1", "t2", words(F.col("text")).alias("w"))
     shorts = [F.array_distinct(F.transform(cuts(F.col("w"), m), lambda x: F.xxhash64(x))).alias(f"g{m}") for m in lengths]
-    scan = save(scan.select("doc_id", "t1", "t2", F.size("w").cast("long").alias("n_words"), minima(grams(F.col("w"), gram), span).alias("fps"), *shorts), "scan")
-    candidates = scan.select("t1", "t2", F.explode("fps").alias("fp")).join(few(prints, BROADCAST_ROWS), "fp", "left_semi").select("t1", "t2")
+    scan = scan.select("doc_id", "t1", "t2", F.size("w").cast("long").alias("n_words"), grams(F.col("w"), gram).alias("g"), *shorts)
+    scan = save(scan.withColumn("g", minima(F.col("g"), span)), "scan")
+    candidates = scan.select("t1", "t2", F.explode("g").alias("fp")).join(few(prints, BROADCAST_ROWS), "fp", "left_semi").select("t1", "t2")
     for m in lengths:
         found = scan.select("t1", "t2", F.explode(f"g{m}").alias("wh")).join(few(sought[m].select("wh"), BROADCAST_ROWS), "wh", "left_semi")
         candidates = candidates.union(found.select("t1", "t2"))
