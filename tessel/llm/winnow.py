@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 from tessel.llm.common import few, save
 
 WINDOW, GRAM, BROADCAST_ROWS = 10, 4, 500_000
-#: What separates words once A-Z is in lower case, and the letters of that step.
-SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What separates words, in any case, and the letters of the step to lower case.
+SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def words(text: Column) -> Column:
-    return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), SEPARATOR), "")
+    """The words with A-Z in lower case; ``lower`` does just that where all characters are ASCII."""
+    text = F.coalesce(text, F.lit(""))
+    ascii_only = lambda x: F.octet_length(x) == F.length(x)
+    each = F.transform(F.split(text, SEPARATOR), lambda x: F.when(ascii_only(x), F.lower(x)).otherwise(F.translate(x, UPPER, LOWER)))
+    return F.array_remove(F.when(ascii_only(text), F.split(F.lower(text), SEPARATOR)).otherwise(each), "")
 
 
 def up_to(n: Column) -> Column:
