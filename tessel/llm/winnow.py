@@ -16,9 +16,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def words(text: Column) -> Column:
     """The words with A-Z in lower case; ``lower`` does just that where all characters are ASCII."""
     text = F.coalesce(text, F.lit(""))
-    ascii_only = lambda x: F.octet_length(x) == F.length(x)
-    each = F.transform(F.split(text, SEPARATOR), lambda x: F.when(ascii_only(x), F.lower(x)).otherwise(F.translate(x, UPPER, LOWER)))
-    return F.array_remove(F.when(ascii_only(text), F.split(F.lower(text), SEPARATOR)).otherwise(each), "")
+    low = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    return F.array_remove(F.split(low, SEPARATOR), "")
 
 
 def up_to(n: Column) -> Column:
