@@ -1,4 +1,4 @@
-"""Line dedup: a sharded minimal perfect hash over the hashes of frequent lines, probed by documents."""
+"""Line dedup: a sharded minimal perfect hash over the hashes of all distinct lines, with fingerprint and count arrays that documents probe."""
 
 from __future__ import annotations
 
@@ -11,9 +11,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessel.llm.common import map_batches, mix, save, stream_by_shard
+from tessel.llm.common import discard, map_batches, mix, save, stream_by_shard
 
-MIN_CHARS, MIN_DOCS, SHARD_KEYS, BROADCAST_BYTES, KEY_BYTES = 20, 3, 1 << 16, 64 << 20, 40
+MIN_CHARS, MIN_DOCS, SHARD_KEYS = 20, 3, 1 << 16
 _SPACE = b" \t\n\x0b\x0c\r"
 
 
@@ -69,12 +69,12 @@ class PerfectHash:
     def _rank(self) -> None:
         self.ranks, n = [], 0
         for bits in self.levels:
-            self.ranks.append(np.cumsum(bits, dtype=np.int32) - 1 + n)
+            self.ranks.append(np.cumsum(bits, dtype=np.int32) - 1 + n)  # of one shard at a time
             n += int(bits.sum())
         self.n = n
 
     def index(self, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
-        """0 to n - 1 for known keys; for others any index or -1."""
+        """0 to n - 1 for known keys, each its own; for others any index or -1."""
         keys = self._key(h1, h2)
         out, left = np.full(len(keys), -1, np.int64), np.arange(len(keys))
         for level, (bits, rank) in enumerate(zip(self.levels, self.ranks, strict=True)):
@@ -101,136 +101,106 @@ class PerfectHash:
 
 
 class Shard:
-    """A perfect hash with arrays of fingerprints, document counts and last documents."""
+    """A perfect hash with an array of 32-bit fingerprints and one of document counts, and the last documents of the lines counted often enough."""
 
-    def __init__(self, mph: bytes, prints: bytes, counts: bytes, last: bytes) -> None:
-        self.mph = PerfectHash.load(mph)
-        self.prints, self.counts, self.last = np.frombuffer(prints, np.int64), np.frombuffer(counts, np.int32), np.frombuffer(last, np.int64)
+    def __init__(self, mph: bytes, prints: bytes, counts: bytes, last: bytes, min_docs: int) -> None:
+        self.mph, self.min_docs = PerfectHash.load(mph), min_docs
+        self.prints, self.counts, self.last = np.frombuffer(prints, np.uint32), np.frombuffer(counts, np.uint32), np.frombuffer(last, np.int64)
+        self.place = np.cumsum(self.counts >= min_docs) - 1
 
     def probe(self, h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each key is in the shard, and its last document."""
+        """In how many documents each line is (0 if it is unknown), and the last of them where they are ``min_docs`` or more."""
         i = self.mph.index(h1, h2)
-        known = (i >= 0) & (self.prints[i] == h2) if len(self.prints) else np.zeros(len(h1), bool)
-        return known, self.last[np.where(known, i, 0)] if len(self.last) else i
+        count = np.where((i >= 0) & (self.prints[i] == fingerprint(h2)), self.counts[i], 0)
+        often = count >= self.min_docs
+        last = np.zeros(len(h1), np.int64)
+        last[often] = self.last[self.place[i[often]]]
+        return count, last
 
 
-def frequent_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(h1, h2, n_docs, last_doc) of the keys that at least ``min_docs`` documents hold; partial sums come before the shuffle.
+def fingerprint(h2: np.ndarray) -> np.ndarray:
+    return (h2.view(np.uint64) >> np.uint64(32)).astype(np.uint32)
 
-    Documents are told apart by doc_id (all rows without one count as one document, which is never the last).
-    """
 
-    def emit(batch: pa.RecordBatch) -> pa.RecordBatch:
-        _, row, _, h1, h2 = hashes_of(batch.column("text").to_pylist(), min_chars)
-        once = pd.DataFrame({"h1": h1, "h2": h2, "row": row}).drop_duplicates()
-        return pa.RecordBatch.from_arrays([pa.array(once.h1, pa.int64()), pa.array(once.h2, pa.int64()), batch.column("doc_id").take(pa.array(once.row, pa.int64()))], ["h1", "h2", "doc_id"])
+def build_index(keys: DataFrame, min_docs: int = MIN_DOCS, shard_keys: int = SHARD_KEYS) -> tuple[DataFrame, int]:
+    """A row per shard (shard, mph, prints, counts, last) over all distinct lines of ``keys`` (doc_id, h1, h2), each of about ``shard_keys`` lines, and the number of shards.
 
-    keys = map_batches(docs.select(F.col("doc_id").cast("long"), "text"), emit, "h1 long, h2 long, doc_id long")
+    Documents are told apart by doc_id (all rows without one count as one document, which is never the last);
+    partial counts come before the shuffle.
+    """
     some = F.coalesce(F.col("doc_id"), F.lit(-(2**63)))
-    return keys.groupBy("h1", "h2").agg(F.count_distinct(some).cast("int").alias("n_docs"), F.max(some).alias("last_doc")).where(F.col("n_docs") >= min_docs)
-
-
-def build_index(frequent: DataFrame, shards: int) -> DataFrame:
-    """One row per shard: (shard, mph, prints, counts, last), each of about ``SHARD_KEYS`` keys."""
+    counted = keys.select("h1", "h2", some.alias("doc_id")).distinct().groupBy("h1", "h2").agg(F.least(F.count("*"), F.lit((1 << 32) - 1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
+    counted = save(counted, "distinct_lines")
+    shards = max(1, -(-counted.count() // shard_keys))
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         h1, h2 = pdf.h1.to_numpy(np.int64), pdf.h2.to_numpy(np.int64)
         mph = PerfectHash(h1, h2)
         order = np.argsort(mph.index(h1, h2))
-        return pd.DataFrame([[int(pdf.shard.iloc[0]), mph.dump(), h2[order].tobytes(), pdf.n_docs.to_numpy(np.int32)[order].tobytes(), pdf.last_doc.to_numpy(np.int64)[order].tobytes()]], columns=["shard", "mph", "prints", "counts", "last"])
-
-    return frequent.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(build, "shard int, mph binary, prints binary, counts binary, last binary")
-
+        n, last = pdf.n_docs.to_numpy(np.int64)[order].astype(np.uint32), pdf.last_doc.to_numpy(np.int64)[order]
+        return pd.DataFrame([[int(pdf.shard.iloc[0]), mph.dump(), fingerprint(h2[order]).tobytes(), n.tobytes(), last[n >= min_docs].tobytes()]], columns=["shard", "mph", "prints", "counts", "last"])
 
-def _kept(lines: list[bytes], drop: set[int]) -> str:
-    return b"\n".join(x for i, x in enumerate(lines) if i not in drop).decode()
+    index = counted.withColumn("shard", F.pmod("h1", F.lit(shards)).cast("int")).groupBy("shard").applyInPandas(build, "shard int, mph binary, prints binary, counts binary, last binary")
+    index = save(index, "line_index")
+    discard(counted)
+    return index, shards
 
 
-def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``docs`` (doc_id, text, any other columns) with the kept text and n_lines, n_dropped.
+def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, shard_keys: int = SHARD_KEYS) -> DataFrame:
+    """``docs`` (doc_id, text, any other columns) with the kept text and n_lines, n_dropped, a row per row.
 
     A line's key is the line stripped of ASCII white space with A-Z in lower case. Keys of at least
     ``min_chars`` code points in at least ``min_docs`` documents stay only in the largest doc_id. Null or
     empty text is one empty line, and its kept text is empty. Rows without a doc_id never are the largest
-    and count as one document; repeated rows of a doc_id are one document. Columns called n_lines or
-    n_dropped are replaced. An index over ``broadcast_bytes`` is not sent out: line hashes go to its shards.
+    and count as one document; repeated rows of a doc_id are one document. An empty table gives no rows. Columns
+    called n_lines or n_dropped are replaced.
+
+    The index is never held whole: each shard visits the tasks that its lines' hashes were routed to, a
+    hot shard several of them, and what documents lose, by their probes of the count arrays, returns by doc_id
+    (by text for rows without one). Rows are as many as distinct lines of a document, never pairs.
     """
-    frequent = save(frequent_lines(docs, min_chars, min_docs), "frequent_lines")
-    n = frequent.count()
-    shards = max(1, -(-n // SHARD_KEYS))
-    index = save(build_index(frequent, shards), "line_index")
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.drop("n_lines", "n_dropped")
-    if n * KEY_BYTES <= broadcast_bytes:
-        return _probe_all(docs, index, shards, min_chars)
-    return _probe_routed(docs, index, shards, min_chars)
-
-
-def _schema(docs: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", n_lines long, n_dropped long"
-
-
-def _rebuilt(batch: pa.RecordBatch, texts: list[str], n_lines: list[int], dropped: list[int]) -> pa.RecordBatch:
-    columns = [pa.array(texts, pa.string()) if name == "text" else batch.column(name) for name in batch.schema.names]
-    return pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(dropped, pa.int64())], [*batch.schema.names, "n_lines", "n_dropped"])
-
-
-def _probe_all(docs: DataFrame, index: DataFrame, shards: int, min_chars: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast({r.shard: tuple(map(bytes, (r.mph, r.prints, r.counts, r["last"]))) for r in index.collect()})
-    ready: dict[int, Shard] = {}
-
-    def probe(batch: pa.RecordBatch) -> pa.RecordBatch:
-        if not ready:
-            ready.update({k: Shard(*v) for k, v in sent.value.items()})
-        lines, row, at, h1, h2 = hashes_of(batch.column("text").to_pylist(), min_chars)
-        ids = batch.column("doc_id").to_pylist()
-        a, b, drops = np.array(h1, np.int64), np.array(h2, np.int64), [set() for _ in lines]
-        to = a % shards
-        for shard in np.unique(to).tolist() if len(ready) else []:
-            if shard in ready:
-                mine = np.flatnonzero(to == shard)
-                known, last = ready[shard].probe(a[mine], b[mine])
-                for i, doc in zip(mine[known].tolist(), last[known].tolist(), strict=True):
-                    if ids[row[i]] != doc:
-                        drops[row[i]].add(at[i])
-        kept = [_kept(x, d) if d else t or "" for x, d, t in zip(lines, drops, batch.column("text").to_pylist(), strict=True)]
-        return _rebuilt(batch, kept, [len(x) for x in lines], [len(d) for d in drops])
-
-    return map_batches(docs, probe, _schema(docs))
-
-
-def _probe_routed(docs: DataFrame, index: DataFrame, shards: int, min_chars: int) -> DataFrame:
-    """For an index too large to send out: the hashes of lines visit the shards, and what is to go returns by doc_id."""
-    spark = docs.sparkSession
+    names, spread = docs.columns, F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.lit(0)).cast("long")
 
     def emit(batch: pa.RecordBatch) -> pa.RecordBatch:
         _, row, _, h1, h2 = hashes_of(batch.column("text").to_pylist(), min_chars)
-        once = pd.DataFrame({"h1": h1, "h2": h2, "row": row}).drop_duplicates()
-        return pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(once.row, pa.int64())), pa.array(once.h1, pa.int64()), pa.array(once.h2, pa.int64())], ["doc_id", "h1", "h2"])
+        once = pd.DataFrame({"row": row, "h1": h1, "h2": h2}, dtype=np.int64).drop_duplicates()
+        take = pa.array(once.row, pa.int64())
+        return pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in ("doc_id", "t")), pa.array(once.h1, pa.int64()), pa.array(once.h2, pa.int64())], ["doc_id", "t", "h1", "h2"])
+
+    keys = save(map_batches(docs.select(F.col("doc_id").cast("long"), spread.alias("t"), "text"), emit, "doc_id long, t long, h1 long, h2 long"), "lines")
+    index, shards = build_index(keys, min_docs, shard_keys)
 
     def visit(groups: Iterator) -> Iterator[pa.RecordBatch]:
         for _, entries, batches in groups:
             if entries is None:
                 continue
-            shard = Shard(*(entries.column(c)[0].as_py() for c in ("mph", "prints", "counts", "last")))
+            shard = Shard(*(entries.column(c)[0].as_py() for c in ("mph", "prints", "counts", "last")), min_docs)
             for batch in batches:
-                known, last = shard.probe(*(np.asarray(batch.column(c)) for c in ("h1", "h2")))
-                ids = np.array([-(2**63) if x is None else x for x in batch.column("doc_id").to_pylist()], np.int64)
-                yield batch.filter(pa.array(known & ((last != ids) | (ids == -(2**63)))))
+                count, last = shard.probe(*(np.asarray(batch.column(c)) for c in ("h1", "h2")))
+                nameless = np.asarray(batch.column("doc_id").is_null())
+                yield batch.filter(pa.array((count >= min_docs) & (nameless | (last != np.asarray(batch.column("doc_id").fill_null(0))))))
 
-    keys = map_batches(docs.select(F.col("doc_id").cast("long"), "text"), emit, "doc_id long, h1 long, h2 long").distinct()
-    rows = keys.select(F.pmod("h1", F.lit(shards)).cast("int").alias("shard"), F.lit(24).alias("size"), F.struct("doc_id", "h1").alias("by"), "doc_id", "h1", "h2")
-    gone = stream_by_shard(index, rows.drop("by"), visit, "doc_id long, h1 long, h2 long", int(spark.conf.get("spark.sql.shuffle.partitions")))
-    marks = gone.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("_gone")).withColumnRenamed("doc_id", "_id")
-    joined = docs.join(marks, docs["doc_id"].eqNullSafe(marks["_id"]), "left").drop("_id")
+    rows = keys.select(F.pmod("h1", F.lit(shards)).cast("int").alias("shard"), F.lit(32).alias("size"), "doc_id", "t", "h1", "h2")
+    gone = stream_by_shard(index, rows, visit, "doc_id long, t long, h1 long, h2 long", partitions)
+    marks = save(gone.groupBy(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).agg(F.collect_set(F.struct("h1", "h2")).alias("_gone")), "lines_to_go")
+    joined = docs.join(marks, F.col("doc_id").eqNullSafe(F.col("_id")) & (spread == F.col("_t")), "left").select(*names, "_gone")
 
     def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lines, row, at, h1, h2 = hashes_of(batch.column("text").to_pylist(), min_chars)
-        gone = [{(x["h1"], x["h2"]) for x in g or ()} for g in batch.column("_gone").to_pylist()]
-        drops: list[set[int]] = [set() for _ in lines]
-        for r, i, a, b in zip(row, at, h1, h2, strict=True):
-            if (a, b) in gone[r]:
-                drops[r].add(i)
-        names = [x for x in batch.schema.names if x != "_gone"]
-        return _rebuilt(batch.select(names), [_kept(x, d) for x, d in zip(lines, drops, strict=True)], [len(x) for x in lines], [len(d) for d in drops])
-
-    return map_batches(joined, apply, _schema(docs))
+        texts, n_lines, dropped = [], [], []
+        for text, gone in zip(batch.column("text").to_pylist(), batch.column("_gone").to_pylist(), strict=True):
+            own = (text or "").split("\n")
+            if gone:
+                drop = {(x["h1"], x["h2"]) for x in gone}
+                kept = [x for x in own if line_hash(x.encode(), min_chars) not in drop]
+            else:
+                kept = own
+            texts.append(text or "" if kept is own else "\n".join(kept))
+            n_lines.append(len(own))
+            dropped.append(len(own) - len(kept))
+        columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(dropped, pa.int64())], [*names, "n_lines", "n_dropped"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
+    return map_batches(joined, apply, schema + ", n_lines long, n_dropped long")

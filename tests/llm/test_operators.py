@@ -347,8 +347,8 @@ def test_the_automata_alone_decide_which_passages_go():
         assert [{i for s in own for i in s} for own in found] == [{*range(104, 117), *range(127, 158)}, set(range(127, 140)), set()]
 
 
-@pytest.mark.parametrize("sent", [1 << 20, 0])
-def test_lines_equal_plain(docs, sent):
+@pytest.mark.parametrize("shard_keys", [1 << 16, 5])
+def test_lines_equal_plain(docs, shard_keys):
     rows = docs.collect()
     keys = lambda t: [x.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)}) for x in (t or "").split("\n")]
     held = {}
@@ -360,11 +360,27 @@ def test_lines_equal_plain(docs, sent):
         own = (r.text or "").split("\n")
         kept = [x for x, k in zip(own, keys(r.text), strict=True) if len(k) < 20 or len(held[k]) < 3 or max(held[k]) == r.doc_id]
         expected.append((r.doc_id, "\n".join(kept), len(own), len(own) - len(kept)))
-    got = lines.drop_repeated_lines(docs, broadcast_bytes=sent).select("doc_id", "text", "n_lines", "n_dropped").collect()
+    got = lines.drop_repeated_lines(docs, shard_keys=shard_keys).select("doc_id", "text", "n_lines", "n_dropped").collect()
     assert sum(e[3] for e in expected) == 3
     assert sorted(map(repr, expected)) == sorted(repr(tuple(r)) for r in got)
 
 
+def test_documents_probe_counts_of_all_lines(spark):
+    """The index holds every distinct line, rare ones too, and its counts alone tell which are frequent."""
+    texts = [f"a line of document {i // 2} here\nthe line that is in all\nthe line that is in all" for i in range(12)]
+    keys = spark.createDataFrame([(i, *h) for i, t in enumerate(texts) for h in {lines.line_hash(x.encode(), 20) for x in t.split("\n")}], "doc_id long, h1 long, h2 long")
+    index, shards = lines.build_index(keys, 3, 2)
+    rows, seen = {r.shard: r for r in index.collect()}, 0
+    assert shards == 4 and sum(len(r.counts) for r in rows.values()) == 4 * 7
+    for line, count, last in [("the line that is in all", 12, 11), *((f"a line of document {i} here", 2, 0) for i in range(6)), ("a line nobody has at all", 0, 0)]:
+        h1, h2 = (np.array([x], np.int64) for x in lines.line_hash(line.encode(), 20))
+        if r := rows.get(int(h1[0] % shards)):
+            got = lines.Shard(r.mph, r.prints, r.counts, r["last"], 3).probe(h1, h2)
+            assert (got[0][0], got[1][0]) == (count, last)
+            seen += 1
+    assert seen >= 7
+
+
 def test_perfect_hash_is_minimal_and_survives_storage():
     h = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, (2, 5000))
     mph = lines.PerfectHash.load(lines.PerfectHash(h[0], h[1]).dump())
