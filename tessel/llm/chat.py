@@ -14,23 +14,40 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Template:
-    """What stands around a turn, which roles may follow which, where a conversation may end, and which texts carry loss."""
+    """What stands around a turn, which roles may follow which, where a conversation may end, and which texts carry loss.
+
+    Escapes follow from the marks: in texts a backslash goes before each backslash, ``begin`` and ``end`` (without
+    the white space around them), in roles before each backslash and first character of a mark. ``unescape``
+    undoes both for every text and every template, so marks must not be empty, hold a backslash, or (``end``) overlap themselves.
+    """
 
     begin: str = "### "
     after_role: str = ": "
     end: str = "</turn>\n"
-    controls: tuple[str, ...] = ("###", "</turn>")
     start: str = "start"
     follows: dict[str, tuple[str, ...]] = field(default_factory=lambda: {"start": ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user",)})
     final: tuple[str, ...] = ("user", "assistant")
     loss_roles: tuple[str, ...] = ("assistant",)
 
+    def __post_init__(self) -> None:
+        for mark in (self.begin, self.after_role, self.end):
+            if not mark or "\\" in mark:
+                raise ValueError(f"a mark must not be empty or hold a backslash: {mark!r}")
+        for end in (self.end, self._core(self.end)):
+            if any(end.startswith(end[i:]) for i in range(1, len(end))):
+                raise ValueError(f"the end of a turn must not overlap itself: {end!r}")
+
+    @staticmethod
+    def _core(mark: str) -> str:
+        return mark.strip() or mark
+
     def escape(self, text: str) -> str:
-        """A backslash before each backslash and each control string; ``unescape`` undoes it for every text."""
-        return re.sub("|".join(map(re.escape, ("\\", *self.controls))), lambda m: "\\" + m[0], text)
+        text = re.sub("|".join(map(re.escape, ("\\", self._core(self.begin)))), lambda m: "\\" + m[0], text)
+        return re.sub(r"\\.|" + re.escape(self._core(self.end)), lambda m: m[0] if m[0][0] == "\\" else "\\" + m[0], text, flags=re.S)
 
     def escape_role(self, role: str) -> str:
-        return re.sub(r"[\\:#<]", lambda m: "\\" + m[0], role)
+        first = {"\\", self.after_role[0], *(self._core(x)[0] for x in (self.begin, self.end))}
+        return re.sub("|".join(map(re.escape, sorted(first))), lambda m: "\\" + m[0], role)
 
     @staticmethod
     def unescape(text: str) -> str:
@@ -121,7 +138,12 @@ class TurnParser:
 
 
 def read_back(segments: DataFrame, template: Template = TEMPLATE) -> DataFrame:
-    """Digests of what ``format_chat`` wrote, parsed from its segments in their order: one row per conversation."""
+    """Digests of what ``format_chat`` wrote, parsed from its segments: (conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, valid), a row per conversation.
+
+    ``segments`` may be saved and read again, in any order of rows and with other columns: they are sorted by conv_id and seq
+    first. Rows without conv_id are one conversation; an empty table gives no rows, and rows after a conversation's last
+    verdict none of their own. A segment given twice is read twice.
+    """
     schema = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, valid boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,4 +172,6 @@ def read_back(segments: DataFrame, template: Template = TEMPLATE) -> DataFrame:
 
         yield from _batches(digests(), [x.split()[0] for x in schema.split(", ")], [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()])
 
-    return segments.mapInArrow(run, schema)
+    n = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = segments.select("conv_id", "seq", "kind", "segment", "loss", "valid", "note").repartition(n, "conv_id").sortWithinPartitions("conv_id", "seq")
+    return ordered.mapInArrow(run, schema)

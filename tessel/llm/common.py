@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -18,20 +19,31 @@ PIECE_BYTES = 1 << 21
 MASK = (1 << 64) - 1
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_scratch: dict[str, tuple[SparkSession, list[str]]] = {}
+_scratch: dict[tuple[str, str], tuple[SparkSession, list[str]]] = {}
+_owners = [""]
 
 
-def scratch_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+@contextmanager
+def scratch_of(owner: str) -> Iterator[None]:
+    """What is saved within goes with ``release`` of this owner."""
+    _owners.append(owner)
+    try:
+        yield
+    finally:
+        _owners.pop()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder in ``spark.checkpoint.dir``; a temporary one only where that is unset (tests).
 
-    It goes with ``release``, or with ``keep`` at the program's end only.
+    It goes with ``release`` of its owner, or at the program's end.
     """
     base = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getConf().get("spark.checkpoint.dir", "")
     if not base:
         base = "file://" + tempfile.mkdtemp(prefix="tessel-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base}/tessel-{uuid.uuid4().hex}/{name}"
-    _scratch.setdefault(spark.sparkContext.applicationId + "/kept" * keep, (spark, []))[1].append(path.rpartition("/")[0])
+    _scratch.setdefault((spark.sparkContext.applicationId, _owners[-1]), (spark, []))[1].append(path.rpartition("/")[0])
     return path
 
 
@@ -62,10 +74,10 @@ def few(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
-def release(spark: SparkSession, kept: bool = False) -> None:
-    """Deletes this application's scratch tables. Results that were not written yet and still read them are lost."""
-    owner, paths = _scratch.pop(spark.sparkContext.applicationId + "/kept" * kept, (None, []))
-    if owner is None or spark.sparkContext._jsc is None:
+def release(spark: SparkSession, owner: str) -> None:
+    """Deletes the scratch tables of one owner. Its results that were not written yet and still read them are lost; others' are not."""
+    _, paths = _scratch.pop((spark.sparkContext.applicationId, owner), (None, []))
+    if spark.sparkContext._jsc is None:
         return
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for p in paths:
@@ -75,10 +87,9 @@ def release(spark: SparkSession, kept: bool = False) -> None:
 
 @atexit.register
 def _release_all() -> None:
-    for owner, _ in list(_scratch.values()):
+    for (_, owner), (spark, _) in list(_scratch.items()):
         try:
-            release(owner)
-            release(owner, kept=True)
+            release(spark, owner)
         except Exception:  # the JVM may be gone at exit  # noqa: BLE001
             pass
 

@@ -28,7 +28,7 @@ def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("source")
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("source", "repetitions", "part")
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

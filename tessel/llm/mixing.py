@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessel.llm.common import save, words_expr
+from tessel.llm.common import SPACE, save, words_expr
 
 WEIGHTS, MAX_EPOCHS, SEED = (5, 2, 1), 3, "mix-1"
 BUCKET_DIGITS = 4  # of the hexadecimal order key: 65,536 buckets a source
@@ -34,8 +34,11 @@ def source_plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs
     return plan.select("source", "source_size", "target", whole.alias("whole"), (goal - whole * F.col("source_size")).alias("rest"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) per row of ``docs`` (doc_id, source, text, any other columns).
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED, carry: str | None = None) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken, repetitions, part) per row of ``docs`` (doc_id, source, text, any other columns).
+
+    ``taken`` words are ``repetitions`` whole texts and then the first ``part`` words. A column named by ``carry`` comes
+    along (first); others are left out.
 
     Every document is taken ``whole`` times, and then documents in the order of a seeded digest of their
     doc_id are taken once more until the source's rounded target is met exactly; the last of them is taken
@@ -47,7 +50,8 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
     65,536) is ever sorted, so a source with a third of all rows is spread over all tasks.
     """
     key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
-    base = docs.select("doc_id", "source", words_expr(F.col("text")).alias("size"), key.alias("key")).withColumn("bucket", F.conv(F.substring("key", 1, BUCKET_DIGITS), 16, 10).cast("int"))
+    along = [carry] if carry else []
+    base = docs.select(*along, "doc_id", "source", words_expr(F.col("text")).alias("size"), key.alias("key")).withColumn("bucket", F.conv(F.substring("key", 1, BUCKET_DIGITS), 16, 10).cast("int"))
     base = save(base, "sizes")
     buckets = base.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     buckets = save(buckets, "buckets")
@@ -65,4 +69,13 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
     ahead = Window.partitionBy("source").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, -1)
     cut = rows.where(is_edge).withColumn("ahead", F.col("edge_before") + F.coalesce(F.sum("size").over(ahead), F.lit(0)))
     cut = cut.withColumn("more", F.greatest(F.lit(0), F.least("size", F.col("rest") - F.col("ahead")))).drop("ahead")
-    return rest.unionByName(cut).select("doc_id", "source", "size", "source_size", "target", (F.col("whole") * F.col("size") + F.col("more")).cast("long").alias("taken"))
+    taken = (F.col("whole") * F.col("size") + F.col("more")).cast("long")
+    whole = F.col("whole") + (F.col("more") == F.col("size")).cast("long")
+    part = F.when(F.col("more") == F.col("size"), 0).otherwise(F.col("more")).cast("long")
+    return rest.unionByName(cut).select(*along, "doc_id", "source", "size", "source_size", "target", taken.alias("taken"), whole.alias("repetitions"), part.alias("part"))
+
+
+def part_text(text, part):
+    """The first ``part`` words, joined by one space."""
+    w = F.array_remove(F.split(F.coalesce(text, F.lit("")), f"[{SPACE}]+"), "")
+    return F.when(part > 0, F.array_join(F.slice(w, F.lit(1), part.cast("int")), " ")).otherwise(F.lit(""))

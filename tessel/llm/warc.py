@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tessel.llm.common import PIECE_BYTES, map_batches, save
 
-MIN_REVISIT_BYTES, BROADCAST_ROWS, ARCHIVE_RECORDS, BATCH_RECORDS = 100, 100_000, 20_000, 4_096
+MIN_REVISIT_BYTES, BROADCAST_ROWS, ARCHIVE_RECORDS, ARCHIVE_BYTES, BATCH_RECORDS = 100, 100_000, 16_384, 1 << 30, 4_096
 GZIP_MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/1."
 _NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
 _EMPTY_MEMBER = zlib.compressobj(6, zlib.DEFLATED, 31).flush()
@@ -50,7 +50,7 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     """``pages`` (page_id, url, html) with digest, size and first_id: the smallest page_id of an equal payload, null if no page precedes.
 
     Only digests are grouped, with partial minima before the shuffle. Firsts of repeated payloads are sent
-    out while they are few and joined by digest beyond that.
+    out while they are few and joined by digest beyond that. Null html is empty; rows without page_id precede none.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long"), "url", html.alias("html"), F.sha2(html.cast("binary"), 256).alias("digest"), F.octet_length(html).cast("long").alias("size"))
@@ -62,8 +62,13 @@ def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataF
     return rows.withColumn("first_id", F.when(F.col("page_id").eqNullSafe(F.col("first_id")), F.lit(None)).otherwise(F.col("first_id")))
 
 
-def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES) -> None:
-    """Writes a gzip member per record into archives under ``path``, one per partition of ``pages`` and ``ARCHIVE_RECORDS`` rows.
+def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYTES, archive_records: int = ARCHIVE_RECORDS, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """``pages`` (page_id, url, html, any other columns) as archives under ``path``, a gzip member per record; an empty table writes none.
+
+    An archive takes at most ``archive_records`` records and ``archive_bytes`` of html and url (but one larger record):
+    records are written by classes of size, sixteenfold each, so that a class's number of records bounds its bytes.
+    Null html is empty, null url is left out, rows that repeat a page_id or have none are records of their own (of
+    equal payloads with the smallest page_id, all rows of that page_id are responses), other columns are left out.
 
     Spark's text writer makes the files, so any of its stores will do and lost tasks leave nothing behind.
     It ends each value with a separator; a member's last byte, always zero, serves as that.
@@ -77,8 +82,15 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
             out.append(member(data)[:-1])
         return pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
 
-    members = map_batches(with_revisits(pages, min_bytes), write, "value binary")
-    members.select(F.col("value").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", ARCHIVE_RECORDS).text(path)
+    least = max(1, archive_bytes // archive_records)
+    rows = with_revisits(pages, min_bytes)
+    weight = F.octet_length(F.coalesce("html", F.lit(""))) + F.octet_length(F.coalesce("url", F.lit("")))
+    level = F.lit(0)
+    for i in range(8):
+        level = level + (weight > least * 16**i).cast("int")
+    for k, *_ in sorted(pages.select(level.alias("level")).distinct().collect()):  # 9 values at most
+        members = map_batches(rows.where(level == k), write, "value binary").select(F.col("value").cast("string"))
+        members.write.mode("append").option("lineSep", "\0").option("maxRecordsPerFile", max(1, archive_records // 16**k)).text(path)
 
 
 def parse_record(data: memoryview | bytes, at: int) -> tuple[dict, int] | str:

@@ -394,7 +394,7 @@ def test_pipeline_keeps_columns_and_clean_documents(spark):
     for name, stage in p.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns
-        out.write.parquet(path := scratch_path(spark, name, keep=True))
+        out.write.parquet(path := scratch_path(spark, name))
         after = spark.read.parquet(path)
         assert 0 < after.count() <= docs.count()
         docs = after
