@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from dataclasses import dataclass
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ from tessel.llm.common import map_batches
 #: Bounds of the model: labelled documents of a language that are read for it (as expected by a hash of
 #: doc_id), words kept of a language, the longest n-gram, n-grams kept of a length and language.
 SAMPLE_DOCS, WORDS, LONGEST, GRAMS = 4_000, 20_000, 5, 20_000
-CACHE = 300_000
+CACHE, CACHE_BYTES = 300_000, 16 << 20  # words scored by n-grams that a task remembers
 NO_EVIDENCE = 0.25  # the highest score of a prediction by class shares alone
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -31,35 +32,53 @@ class Model:
     prior: np.ndarray | None = None  # shares of the languages among the labelled rows; equal ones if not given
 
     def __post_init__(self) -> None:
-        self.cache: dict[str, np.ndarray | None] = {}
+        self._forget()
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"cache": {}}
+        return {k: v for k, v in self.__dict__.items() if k not in ("rows", "table", "room")}
 
-    def unseen(self, word: str) -> np.ndarray | None:
-        """The mean score of the word's longest known n-grams; parts without one fall back to shorter ones."""
-        if word in self.cache:
-            return self.cache[word]
-        padded, found = f"_{word}_", []
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        self._forget()
+
+    def _forget(self) -> None:
+        """Rows of scores by word: the known ones, and room for those that were scored by n-grams."""
+        self.rows, self.room = dict(self.words), len(self.words) + max(1, min(CACHE, CACHE_BYTES // (4 * max(1, len(self.langs)))))
+        self.table = np.zeros((self.room, len(self.langs)), np.float32)
+        self.table[: len(self.words)] = self.word_scores
+
+    def _grams(self, word: str) -> list[int]:
+        """The word's longest known n-grams; parts without one fall back to shorter ones. None if no letter is known."""
+        padded, get, found = f"_{word}_", self.grams.get, []
+        end = len(padded)
 
         def cover(a: int, b: int) -> None:
-            if (i := self.grams.get(padded[a:b])) is not None:
+            if (i := get(padded[a:b])) is not None:
                 found.append(i)
             elif b - a > 1:
                 cover(a, b - 1)
-                if b == len(padded) or a == 0:
+                if b == end or a == 0:
                     cover(a + 1, b)
 
-        n = min(LONGEST, len(padded))
-        for a in range(len(padded) - n + 1):
-            cover(a, a + n)
-        edge = self.grams.get("_")  # tells nothing of the letters
-        score = self.gram_scores[found].mean(0) if any(i != edge for i in found) else None
-        if len(word) <= 64:  # longer runs hardly come again
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[word] = score
-        return score
+        n = min(LONGEST, end)
+        for a in range(end - n + 1):
+            if (i := get(padded[a : a + n])) is not None:
+                found.append(i)
+            else:
+                cover(a, a + n)
+        edge = get("_")  # tells nothing of the letters
+        return found if any(i != edge for i in found) else []
+
+    def unseen(self, words: list[str]) -> np.ndarray:
+        """The mean score of each word's longest known n-grams, 0 if there is none."""
+        found = [self._grams(w) for w in words]
+        out = np.zeros((len(words), len(self.langs)))
+        some = [i for i, f in enumerate(found) if f]
+        if some:
+            flat = np.fromiter((x for i in some for x in found[i]), np.int64)
+            many = np.array([len(found[i]) for i in some])
+            out[some] = np.add.reduceat(self.gram_scores[flat], np.cumsum(many) - many, axis=0, dtype=np.float64) / many[:, None]
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """A learned language with its share of the likelihood (0 to 1); ``und`` and 0 without letters or with an empty model.
@@ -68,23 +87,27 @@ class Model:
         a score of at most ``NO_EVIDENCE``.
         """
         counts = Counter(_WORD.findall((text or "").lower()))
-        for word in [w for w in counts if not w.isalpha()]:  # holds numerals that are no digits
-            n = counts.pop(word)
-            for part in "".join(c if c.isalpha() else " " for c in word).split():
-                counts[part] += n
+        if not "".join(counts).isalpha():
+            for word in [w for w in counts if not w.isalpha()]:  # holds numerals that are no digits
+                n = counts.pop(word)
+                for part in "".join(c if c.isalpha() else " " for c in word).split():
+                    counts[part] += n
         if not counts or not self.langs:
             return "und", 0.0
         if len(self.langs) == 1:
             return self.langs[0], 1.0
-        known, times, total = [], [], np.zeros(len(self.langs))
-        for word, n in counts.items():
-            if (i := self.words.get(word)) is not None:
-                known.append(i)
-                times.append(n)
-            elif (score := self.unseen(word)) is not None:
-                total += n * score
-        if known:
-            total += np.asarray(times, np.float64) @ self.word_scores[known]
+        if len(self.rows) + len(counts) > self.room:
+            self._forget()
+        ids = np.fromiter(map(self.rows.get, counts, repeat(-1)), np.int64, len(counts))
+        times, old = np.fromiter(counts.values(), np.float64, len(counts)), ids >= 0
+        total = times[old] @ self.table[ids[old]]
+        if not old.all():
+            new = list(compress(counts, ~old))
+            scores = self.unseen(new)
+            total = total + times[~old] @ scores
+            first, keep = len(self.rows), [i for i, w in enumerate(new) if len(w) <= 64][: self.room - len(self.rows)]  # longer runs hardly come again
+            self.table[first : first + len(keep)] = scores[keep]
+            self.rows.update(zip((new[i] for i in keep), range(first, first + len(keep)), strict=True))
         if not total.any():
             prior = np.full(len(self.langs), 1 / len(self.langs)) if self.prior is None else self.prior
             best = int(prior.argmax())
