@@ -42,19 +42,32 @@ def formula_weights(latents: int = 128, dims: int = 64) -> np.ndarray:
     return ((j * 7919 + i * 104729 + j * i * 31) % 201 - 100) / 100.0
 
 
-def sparse_encode(rows: DataFrame, key: str, vector: str, weights: np.ndarray, k: int) -> DataFrame:
-    """key + (top_acts, top_indices): the k largest rectified latents, ties to the lower id."""
+def sparse_encode(rows: DataFrame, key: str, vector: str, weights: np.ndarray, k: int, bias: np.ndarray | None = None, pre_bias: np.ndarray | None = None) -> DataFrame:
+    """key + (top_acts, top_indices): the k largest of max((vector - pre_bias) weights + bias, 0), ties to the lower id; rows without a vector are left out."""
+    add, less = (np.zeros(n) if x is None else x for x, n in ((bias, len(weights)), (pre_bias, weights.shape[1])))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                acts = np.round(np.maximum(np.stack(pdf[vector]).astype(np.float64) @ weights.T, 0), 6)
+                acts = np.maximum((np.stack(pdf[vector]).astype(np.float64) - less) @ weights.T + add, 0)
                 top = np.argsort(-acts, axis=1, kind="stable")[:, :k]
                 yield pd.DataFrame({key: pdf[key], "top_acts": list(np.take_along_axis(acts, top, 1)), "top_indices": list(top.astype(np.float64))})
 
     return rows.where(F.col(vector).isNotNull()).select(key, vector).mapInPandas(run, f"{key} {rows.schema[key].dataType.simpleString()}, top_acts array<double>, top_indices array<double>")
 
 
+def stack(rows: DataFrame, shard: str, position: str, vector: str, block: int = 4096) -> DataFrame:
+    """(shard, block, first, rows, width, matrix): the vectors of ``block`` consecutive positions as one little-endian float32 matrix; null vectors are left out."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("position")
+        x = np.stack(pdf["vector"]).astype("<f4")
+        return pd.DataFrame({shard: pdf[shard].iloc[:1], "block": pdf["block"].iloc[:1], "first": pdf["position"].iloc[:1], "rows": [len(x)], "width": [x.shape[1]], "matrix": [x.tobytes()]})
+
+    some = rows.where(F.col(vector).isNotNull()).select(shard, F.floor(F.col(position) / block).alias("block"), F.col(position).cast("long").alias("position"), F.col(vector).alias("vector"))
+    return some.groupBy(shard, "block").applyInPandas(run, f"`{shard}` {rows.schema[shard].dataType.simpleString()}, block long, first long, rows long, width long, matrix binary")
+
+
 def codes(encoded: DataFrame, key: str) -> DataFrame:
     """key, feature, activation: a row per latent of a row."""
     pairs = F.arrays_zip(F.transform("top_indices", lambda x: x.cast("long")).alias("feature"), F.col("top_acts").alias("activation"))

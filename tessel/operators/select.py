@@ -33,22 +33,32 @@ def with_position(rows: DataFrame, shard: str, key: str) -> DataFrame:
     return rows.withColumn("row_pos", (F.row_number().over(Window.partitionBy(shard).orderBy(key)) - 1).cast("long"))
 
 
-def zip_by_position(*parts: DataFrame, on: tuple[str, str] = ("shard", "row_pos")) -> DataFrame:
+def zip_by_position(*parts: DataFrame, on: tuple[str, str] = ("shard", "row_pos"), check: bool = True) -> DataFrame:
+    """Rows of the same shard and position side by side. With ``check`` a shard with unequal numbers of rows is an error: nothing is dropped without a word."""
+    if check:
+        counts = zip_guard({f"part {i}": p for i, p in enumerate(parts)}, on[0])
+        if bad := counts.where("not equal").take(1):
+            raise ValueError(f"parts differ in their rows: {bad[0].asDict()}")
     out = parts[0]
     for p in parts[1:]:
         out = out.join(p, list(on))
     return out
 
 
+def lookup(requests: DataFrame, rows: DataFrame, order: str, on: tuple[str, str] = ("shard", "row_pos")) -> DataFrame:
+    """For each request (order, shard, row_pos, ...) the row at that place, in the requests' order: repeated requests give repeated rows, those to nowhere nulls."""
+    return requests.join(rows, list(on), "left").orderBy(order)
+
+
 def zip_guard(parts: dict[str, DataFrame], shard: str = "shard") -> DataFrame:
     """shard, rows of each part, equal: shards to check before a zip."""
     out = None
     for name, p in parts.items():
         n = p.groupBy(shard).agg(F.count("*").alias(name))
         out = n if out is None else out.join(n, shard, "full")
-    out = out.select(shard, *(F.coalesce(c, F.lit(0)).alias(c) for c in parts))
+    out = out.select(shard, *(F.coalesce(F.col(f"`{c}`"), F.lit(0)).alias(c) for c in parts))
     first, *rest = parts
     equal = F.lit(True)
     for c in rest:
-        equal = equal & (F.col(first) == F.col(c))
+        equal = equal & (F.col(f"`{first}`") == F.col(f"`{c}`"))
     return out.withColumn("equal", equal)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
@@ -35,6 +38,61 @@ def token_windows(docs: DataFrame, size: int, overlap: float = 0.1, drop_tail: b
     return rows.select(*keep, F.col("chunk_index").cast("long").alias("chunk_index"), words.alias("chunk_text"), "chunk_tokens", F.size("chunk_tokens").cast("long").alias("chunk_token_count"))
 
 
+class CodePoints:
+    """A tokenizer whose ids are code points, between two special ones; the shape that ``token_windows_by`` asks for."""
+
+    begin, end = 101, 102
+
+    def encode(self, texts: list[str], special_tokens: bool) -> list[list[int]]:
+        ids = [list(map(ord, t)) for t in texts]
+        return [[self.begin, *x, self.end] for x in ids] if special_tokens else ids
+
+    def decode(self, ids: list[int]) -> str:
+        return "".join(map(chr, ids))
+
+
+class TokenizerFile:
+    """A tokenizer of the ``tokenizers`` library by the path of its file, which all executors must see."""
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def encode(self, texts: list[str], special_tokens: bool) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=special_tokens)]
+
+    def decode(self, ids: list[int]) -> str:
+        return self.tokenizer.decode(ids, skip_special_tokens=False)
+
+
+def token_windows_by(docs: DataFrame, size: int, make: Callable[[], object], overlap: float = 0.1, drop_tail: bool = True, keep: tuple[str, ...] = ("doc_id",), text: str = "text", special_tokens: bool = True) -> DataFrame:
+    """``token_windows`` of a tokenizer that ``make`` builds once per task: chunk_tokens are its ids, chunk_text what it decodes them to (a text of up to ``size`` tokens stays as it is).
+
+    With ``special_tokens`` those that the tokenizer puts around a text are counted and cut like all others.
+    """
+    o = int(size * overlap)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tokenizer = make()
+        for pdf in batches:
+            rows = []
+            for i, (t, ids) in enumerate(zip(pdf[text], tokenizer.encode(pdf[text].fillna("").tolist(), special_tokens), strict=True)):
+                if len(ids) <= size:
+                    rows.append((i, 0, t, ids))
+                    continue
+                for k, at in enumerate(range(0, len(ids), size - o)):
+                    part = ids[at : at + size]
+                    if drop_tail and len(part) < o:
+                        break
+                    rows.append((i, k, tokenizer.decode(part), part))
+            at, index, words, ids = zip(*rows, strict=True) if rows else ((), (), (), ())
+            yield pdf[list(keep)].iloc[list(at)].reset_index(drop=True).assign(chunk_index=index, chunk_text=words, chunk_tokens=ids, chunk_token_count=[len(x) for x in ids])
+
+    fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.select(*dict.fromkeys((*keep, text))).mapInPandas(run, f"{fields}, chunk_index long, chunk_text string, chunk_tokens array<int>, chunk_token_count long")
+
+
 @udtf(returnType="chunk_index: bigint, chunk_text: string, chunk_token_count: bigint")
 class ChunkRow:
     """The same windows as a Python table function, for tokenizers that only Python has."""

@@ -9,8 +9,10 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tessel.functions.vectors import dot, normalize, position_of, value_at
 from tessel.operators import batches, models, search, select, text
@@ -181,10 +183,11 @@ def dot_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("vec_id").alias("a"), F.col("embedding").alias("x")).join(b, "a").select("a", "b", F.round(dot(F.col("x"), F.col("y")), 6).alias("score"))
 
 
-@query("SELECT e.vec_id, round(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS score FROM embeddings e, embeddings q WHERE q.vec_id = 0 ORDER BY score DESC, 1 LIMIT 10")
+@query("""SELECT query, vec_id, round(score, 6) AS score FROM (SELECT q.vec_id AS query, e.vec_id, list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) AS score,
+row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])) DESC, e.vec_id) AS rn FROM embeddings e, embeddings q WHERE q.vec_id % 50 = 0) WHERE rn <= 10""")
 def knn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = read(spark, sf_dir, "embeddings")
-    return search.nearest(e, e.where("vec_id = 0"), "vec_id", "embedding", 10)
+    return search.nearest(e, e.where("vec_id % 50 = 0"), "vec_id", "embedding", 10).withColumn("score", F.round("score", 6))
 
 
 @query("""WITH t AS (SELECT label, vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(len(embedding))) AS dim FROM embeddings)
@@ -200,13 +203,14 @@ def cls_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CODES = """j AS (SELECT unnest(range(128)) AS j), i AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) AS x, unnest(range(64)) AS i FROM embeddings),
-a AS (SELECT vec_id, j, round(greatest(sum(x * (((j*7919 + i*104729 + j*i*31) % 201 - 100) / 100.0)), 0), 6) AS act FROM i, j GROUP BY ALL),
+a AS (SELECT vec_id, j, greatest(sum(x * (((j*7919 + i*104729 + j*i*31) % 201 - 100) / 100.0)), 0) AS act FROM i, j GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY act DESC, j) AS rn FROM a),
-codes AS MATERIALIZED (SELECT vec_id, j AS feature, act AS activation, vec_id % 4 AS shard FROM r WHERE rn <= 8)"""
+codes AS MATERIALIZED (SELECT vec_id, j AS feature, round(act, 6) AS activation, vec_id % 4 AS shard FROM r WHERE rn <= 8)"""
 
 
 def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.sparse_encode(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", models.formula_weights(LATENTS), K)
+    found = models.sparse_encode(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", models.formula_weights(LATENTS), K)
+    return found.withColumn("top_acts", F.transform("top_acts", lambda x: F.round(x, 6)))
 
 
 def coded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,12 +226,27 @@ def sae_encode_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded(spark, sf_dir).drop("shard")
 
 
+@query("""WITH j AS (SELECT unnest(range(128)) AS j), i AS (SELECT vec_id, CAST(unnest(embedding) AS DOUBLE) - (unnest(range(64)) % 7) / 100.0 AS x, unnest(range(64)) AS i FROM embeddings),
+a AS (SELECT vec_id, j, greatest(sum(x * (((j*7919 + i*104729 + j*i*31) % 201 - 100) / 100.0)) + (j % 5 - 2) / 10.0, 0) AS act FROM i, j GROUP BY vec_id, j),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY act DESC, j) AS rn FROM a) SELECT vec_id, j AS feature, round(act, 6) AS activation FROM r WHERE rn <= 8""")
+def sae_encode_biases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bias, pre = (np.arange(LATENTS) % 5 - 2) / 10.0, (np.arange(64) % 7) / 100.0
+    found = models.sparse_encode(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", models.formula_weights(LATENTS), K, bias, pre)
+    return models.codes(found, "vec_id").withColumn("activation", F.round("activation", 6))
+
+
 @query(f"WITH {_CODES} SELECT vec_id, list(CAST(feature AS INT) ORDER BY activation DESC, feature) AS sae_indices, list(activation ORDER BY activation DESC, feature) AS sae_acts FROM codes GROUP BY vec_id")
 def sae_codes_cast_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     renamed = encoded(spark, sf_dir).withColumnsRenamed({"top_indices": "sae_indices", "top_acts": "sae_acts"})
     return renamed.withColumn("sae_indices", F.transform("sae_indices", lambda x: x.cast("int")))
 
 
+@query(f"WITH {_CODES} SELECT vec_id, activation FROM codes WHERE feature = 5")
+def feature_present(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = encoded(spark, sf_dir).withColumn("position", position_of(F.col("top_indices"), F.lit(5.0))).where("position >= 0")
+    return rows.select("vec_id", value_at(F.col("top_acts"), F.col("position")).alias("activation"))
+
+
 @query(f"WITH {_CODES} SELECT feature, count(*) AS n FROM codes GROUP BY feature")
 def feature_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded(spark, sf_dir).groupBy("feature").agg(F.count("*").alias("n")).orderBy("feature")
@@ -298,9 +317,30 @@ def positions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return select.with_position(c, "shard", "doc_id"), select.with_position(e, "shard", "vec_id")
 
 
-@query(_POS + "SELECT shard, row_pos, doc_id, chunk_token_count, vec_id, label FROM c JOIN e USING (shard, row_pos)")
+@query(f"WITH {_CODES} SELECT vec_id % 4 AS shard, row_number() OVER (PARTITION BY vec_id % 4 ORDER BY vec_id) - 1 AS row_pos, vec_id, label, embedding[1] AS x, min(activation) AS least FROM codes JOIN embeddings USING (vec_id) GROUP BY vec_id, label, embedding")
 def positional_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select.zip_by_position(*positions(spark, sf_dir))
+    e = select.with_position(read(spark, sf_dir, "embeddings").select(_shard("vec_id"), "vec_id", "label", "embedding"), "shard", "vec_id")
+    f = select.with_position(encoded(spark, sf_dir).select(_shard("vec_id"), "vec_id", F.array_min("top_acts").alias("least")), "shard", "vec_id").drop("vec_id")
+    return select.zip_by_position(e.drop("embedding"), f, e.select("shard", "row_pos", F.col("embedding")[0].alias("x")))
+
+
+@query(f"""WITH {_CODES}, e AS (SELECT vec_id, label, vec_id % 4 AS shard, row_number() OVER (PARTITION BY vec_id % 4 ORDER BY vec_id) - 1 AS row_pos FROM embeddings),
+q AS (SELECT feature, vec_id, row_number() OVER (ORDER BY feature, activation DESC, vec_id) AS ord FROM codes WHERE feature < 8)
+SELECT ord, feature, shard, row_pos, e.vec_id, label FROM q JOIN e USING (vec_id)""")
+def sample_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests by shard and position, in order; a vector comes as often as features ask for it."""
+    e = select.with_position(read(spark, sf_dir, "embeddings").select(_shard("vec_id"), "vec_id", "label"), "shard", "vec_id")
+    asked = coded(spark, sf_dir).where("feature < 8").join(e.select("vec_id", "row_pos"), "vec_id")
+    asked = asked.select("feature", "shard", "row_pos", F.row_number().over(Window.orderBy("feature", F.desc("activation"), "vec_id")).cast("long").alias("ord"))
+    return select.lookup(asked, e, "ord").select("ord", "feature", "shard", "row_pos", "vec_id", "label")
+
+
+@query(f"WITH {_CODES}, t AS ({_top_sql('feature', 10)}) SELECT row_number() OVER (ORDER BY feature, activation DESC, shard, vec_id) AS place, feature, activation, shard, vec_id FROM t")
+def topn_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top table in order: features ascending, their rows by activation descending."""
+    order = [F.col("feature"), *_order()]
+    top = topn_global(spark, sf_dir)  # at most 10 rows a latent
+    return top.select(F.row_number().over(Window.orderBy(*order)).cast("long").alias("place"), "feature", "activation", "shard", "vec_id").orderBy("place")
 
 
 @query(_POS + "SELECT shard, a.n AS chunks, b.n AS vectors, a.n = b.n AS equal FROM (SELECT shard, count(*) AS n FROM c GROUP BY 1) a FULL JOIN (SELECT shard, count(*) AS n FROM e GROUP BY 1) b USING (shard)")
@@ -311,6 +351,18 @@ def zip_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TWO = rf"t AS (SELECT doc_id, {TOK} AS a, regexp_extract_all(text, '[A-Za-z0-9]+|[^\sA-Za-z0-9]') AS b FROM documents), c AS (SELECT doc_id, CAST(len(a) AS BIGINT) AS white_count, CAST(len(b) AS BIGINT) AS punct_count, CAST(len(list_distinct(a)) AS BIGINT) AS white_unique, CAST(len(list_distinct(b)) AS BIGINT) AS punct_unique, a = b AS identical FROM t)"
 
 
+@query("""WITH t AS (SELECT doc_id, text, list_concat([101], list_transform(string_split(text, ''), lambda c: CASE WHEN c = '' THEN NULL ELSE unicode(c) END), [102]) AS ids FROM documents),
+u AS (SELECT doc_id, text, list_filter(ids, lambda x: x IS NOT NULL) AS ids FROM t),
+w AS (SELECT doc_id, text, ids, len(ids) AS l, unnest(CASE WHEN len(ids) > 500 THEN range(0, (len(ids) - 50) // 450 + 1) ELSE [0] END) AS k FROM u)
+SELECT doc_id, CAST(k AS BIGINT) AS chunk_index, CAST(least(l - k * 450, 500) AS BIGINT) AS chunk_token_count, CAST(list_sum(ids[k * 450 + 1 : k * 450 + 500]) AS BIGINT) AS ids, CASE WHEN l <= 500 THEN md5(text) END AS whole FROM w""")
+def chunk_windows_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows over the ids of a tokenizer that only Python has, special ones counted."""
+    rows = text.token_windows_by(read(spark, sf_dir, "documents"), 500, text.CodePoints)
+    total = F.aggregate("chunk_tokens", F.lit(0).cast("long"), lambda a, x: a + x)
+    alone = F.when((F.col("chunk_index") == 0) & (F.element_at("chunk_tokens", -1) == text.CodePoints.end) & (F.col("chunk_token_count") == F.length("chunk_text") + 2), F.md5(F.col("chunk_text").cast("binary")))
+    return rows.select("doc_id", "chunk_index", "chunk_token_count", total.alias("ids"), alone.alias("whole"))
+
+
 @query(f"WITH {_TWO} SELECT * FROM c")
 def tokenizer_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.compare_tokenizers(read(spark, sf_dir, "documents"))
@@ -341,9 +393,28 @@ def fts_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.bm25(read(spark, sf_dir, "documents"), "doc_id", "text", ["inenan", "handed", "pathetic", "therou"])
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    base = spark.conf.get("spark.checkpoint.dir", "") or "file:" + tempfile.mkdtemp()
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
 @query(f"WITH {_CODES} SELECT vec_id, feature FROM codes WHERE feature IN (5, 17)")
 def label_list_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return coded(spark, sf_dir).select("feature", "vec_id").where(F.col("feature").isin(5, 17))
+    path = _scratch(spark, "labels")
+    search.build_label_index(coded(spark, sf_dir), "vec_id", "feature", path)
+    return search.lookup_labels(spark, path, "feature", [5, 17]).select("vec_id", "feature")
+
+
+_COSINE = """u AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) / greatest(sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))), 1e-12)) AS v FROM embeddings),
+s AS (SELECT q.vec_id AS query, e.vec_id, list_dot_product(e.v, q.v) AS score FROM u e, u q WHERE q.vec_id % 50 = 0)"""
+
+
+@query(f"WITH {_COSINE} SELECT query, vec_id, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS rn FROM s) WHERE rn <= 10")
+def ann_stored_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored index, searched through all its lists."""
+    e, path = read(spark, sf_dir, "embeddings"), _scratch(spark, "vectors")
+    search.build_index(e, "vec_id", "embedding", path)
+    return search.search_index(spark, path, e, e.where("vec_id % 50 = 0"), "vec_id", "embedding", 10).withColumn("score", F.round("score", 6))
 
 
 PROBED = 0.7  # share of the lists that is measured to reach a recall of 0.9
@@ -359,7 +430,7 @@ def _recall(spark: SparkSession, sf_dir: str, probes: tuple[int, ...], parts: in
     x = search.fit_sample(e, "vec_id", "embedding")
     centroids = search.kmeans(x, lists)
     books = [search.kmeans(p, 64) for p in np.split(x, parts, axis=1)] if parts else None
-    exact = search.ivf_search(e, asked, "vec_id", "embedding", 10, 1, np.zeros((1, x.shape[1])))
+    exact = search.exact_search(e, asked, "vec_id", "embedding", 10)
     out = None
     for n in probes:
         found = search.ivf_search(e, asked, "vec_id", "embedding", 10, min(n, lists), centroids, books, max(SHORTLIST, rows // SHORTLIST_SHARE))
@@ -387,7 +458,7 @@ def embed_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT vec_id % 4 AS shard, row_number() OVER (PARTITION BY vec_id % 4 ORDER BY vec_id) - 1 AS row_pos, embedding AS vector FROM embeddings")
 def f32_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp()
-    base = base.removeprefix("file:").replace("//", "/") if base.startswith(("file:", "/")) else tempfile.mkdtemp()  # a mount that all executors share
+    base = "/" + base.removeprefix("file:").lstrip("/") if base.startswith(("file:", "/")) else tempfile.mkdtemp()  # a mount that all executors share
     folder = tempfile.mkdtemp(dir=base if os.path.isdir(base) else None)
     rows = select.with_position(read(spark, sf_dir, "embeddings").select(_shard("vec_id"), "vec_id", F.col("embedding").alias("vector")), "shard", "vec_id")
     tables.write_f32(rows, folder).write.format("noop").mode("overwrite").save()
@@ -397,13 +468,20 @@ def f32_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT count(*) AS n, CAST(sum(vec_id) AS BIGINT) AS ids, CAST(99 AS BIGINT) AS parts FROM embeddings")
 def reshard_99(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "embeddings").select("vec_id").repartition(99).withColumn("part", F.spark_partition_id())
-    return rows.agg(F.count("*").alias("n"), F.sum("vec_id").alias("ids"), F.count_distinct("part").alias("parts"))
+    """Published as 99 files, and read again."""
+    path = _scratch(spark, "published")
+    tables.publish_table(read(spark, sf_dir, "embeddings").select("vec_id"), path, 99)
+    return spark.read.parquet(path).agg(F.count("*").alias("n"), F.sum("vec_id").alias("ids"), F.lit(len(tables.list_shards(spark, path, ".parquet"))).cast("long").alias("parts"))
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id % 4 = 2")
 def shard_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "documents").withColumn("shard", _shard("doc_id")).where("shard = 2").select("doc_id", "source")
+    """Documents by shard, of which the file of one is read by its name."""
+    path = _scratch(spark, "fetched")
+    rows = read(spark, sf_dir, "documents").select("doc_id", "source", _shard("doc_id"))
+    tables.write_sharded(rows, path)
+    names = tables.list_shards(spark, f"{path}/shard=2", ".parquet")
+    return tables.read_corpus(spark, f"{path}/shard=2", text_key="source", keep=("doc_id",), shards=names).select("doc_id", F.col("text").alias("source"))
 
 
 @query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS row_pos, lang FROM documents")
@@ -418,10 +496,18 @@ def drop_select_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.split_part("origin", F.lit("c"), F.lit(2)).alias("number"), F.repeat(F.lit("I "), 3).alias("probe"), prompt.alias("prompt"))
 
 
-@query("SELECT label, count(*) AS n, CAST(max(len(embedding)) AS BIGINT) AS width, count(DISTINCT vec_id % 4) AS shards FROM embeddings WHERE embedding[1] >= 0 GROUP BY label")
+@query("""WITH p AS (SELECT vec_id % 4 AS shard, row_number() OVER (PARTITION BY vec_id % 4 ORDER BY vec_id) - 1 AS pos, embedding FROM embeddings)
+SELECT shard, pos // 64 AS block, min(pos) AS first, count(*) AS rows, CAST(64 AS BIGINT) AS width, 256 * count(*) AS bytes, round(sum(list_sum(CAST(embedding AS DOUBLE[]))), 6) AS total FROM p WHERE embedding[1] >= 0 GROUP BY ALL""")
 def stack_nonnull_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read(spark, sf_dir, "embeddings").withColumn("embedding", F.when(F.col("embedding")[0] >= 0, F.col("embedding"))).where("embedding is not null")
-    return rows.groupBy("label").agg(F.count("*").alias("n"), F.max(F.size("embedding")).cast("long").alias("width"), F.count_distinct(_shard("vec_id")).alias("shards"))
+    """Matrices of 64 positions, null vectors left out, told by their shape and what they hold."""
+    rows = select.with_position(read(spark, sf_dir, "embeddings").select(_shard("vec_id"), "vec_id", "embedding"), "shard", "vec_id")
+    rows = rows.withColumn("embedding", F.when(F.col("embedding")[0] >= 0, F.col("embedding")))
+    return models.stack(rows, "shard", "row_pos", "embedding", 64).select("shard", "block", "first", "rows", "width", F.octet_length("matrix").cast("long").alias("bytes"), F.round(_total("matrix"), 6).alias("total"))
+
+
+@F.pandas_udf(DoubleType())
+def _total(matrix: pd.Series) -> pd.Series:
+    return matrix.map(lambda m: np.frombuffer(m, "<f4").astype(np.float64).sum())
 
 
 @query("SELECT id // (1027 // 4) AS part, count(*) AS n, min(id) AS first, max(id) AS last FROM (SELECT unnest(range(1027)) AS id) GROUP BY 1")

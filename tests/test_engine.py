@@ -1,9 +1,9 @@
-import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tessel.operators import batches, models, select, text
+from tessel.operators import batches, models, search, select, text
 from tessel.plans import catalogue
 from tessel.sources import tables
 
@@ -15,16 +15,6 @@ def rounded(rows):
     return sorted((repr([fix(v) for v in r]) for r in rows))
 
 
-@pytest.mark.parametrize("name", ["chunk_windows_120", "corpus_summary_rollup", "pack_next_fit", "pad_and_mask", "topn_global", "topn_zero_fill", "zip_guard", "fts_bm25", "embed_hash", "feature_position_activation"])
-def test_query_equals_sql(spark, name):
-    con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
-        con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
-    expected = con.sql(catalogue.SQL[name])
-    got = catalogue.QUERIES[name](spark, SF).select(*expected.columns)
-    assert rounded(map(tuple, got.collect())) == rounded(expected.fetchall())
-
-
 def test_entry(spark):
     assert entry.entry(spark).count() == 5
 
@@ -128,3 +118,103 @@ def test_recall_of_the_index(spark, name):
     rows = catalogue.QUERIES[name](spark, "/root/testdata/sf0.01").collect()
     assert all(r.recall >= 0.9 for r in rows if r.probes >= 0.7 * r.lists)
     assert sum(r.probes >= 0.7 * r.lists for r in rows) == 2
+
+
+def test_corpora_are_read_by_glob_by_name_and_in_part(spark, tmp_path):
+    for i in range(3):
+        spark.createDataFrame([(f"t{i}{j}", j) for j in range(4)], "text string, k int").coalesce(1).write.parquet(f"{tmp_path}/part{i}")
+        name = tables.list_shards(spark, f"{tmp_path}/part{i}", ".parquet")[0]
+        tables.copy(spark, f"{tmp_path}/part{i}/{name}", f"{tmp_path}/all/data-{i:05d}-of-00003.parquet")
+    names = tables.shard_names("data-{i:05d}-of-{n:05d}.parquet", 3)
+    assert tables.list_shards(spark, f"{tmp_path}/all") == names
+    every = tables.read_corpus(spark, f"{tmp_path}/all", keep=("k",))
+    assert {(r.text, r.k, r.shard, r.row_pos) for r in every.collect()} == {(f"t{i}{j}", j, names[i], j) for i in range(3) for j in range(4)}
+    assert tables.read_corpus(spark, f"{tmp_path}/all", shards=names[1:2]).count() == 4 and tables.read_corpus(spark, f"{tmp_path}/all", n=5).count() == 5
+    assert tables.read_corpus(spark, f"{tmp_path}/all/data-0000[01]*.parquet").count() == 8
+    assert spark.read.parquet("file:" + tables.fetch_shard(spark, f"{tmp_path}/all", names[2], f"{tmp_path}/got.parquet")).count() == 4
+    got = tables.fetch_shard(spark, f"{tmp_path}/all", names[2], f"{tmp_path}/got.arrow", arrow=True)
+    assert {r.text for r in tables.read_arrow(spark, got, "text string, k int").collect()} == {f"t2{j}" for j in range(4)}
+
+
+def test_tables_are_published_appended_and_reused(spark, tmp_path, monkeypatch):
+    rows, path = spark.range(300).withColumn("shard", F.col("id") % 3), f"{tmp_path}/table"
+    calls, copy = [], tables.copy
+    monkeypatch.setattr(tables, "copy", lambda *a: (calls.append(1), copy(*a) if len(calls) > 2 else 1 / 0)[1])
+    assert tables.publish_table(rows, path, 99, wait=0) == 3
+    assert len(tables.list_shards(spark, path, ".parquet")) == 99 and spark.read.parquet(path).count() == 300
+    monkeypatch.setattr(tables, "copy", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        tables.publish_table(rows, path, 2, attempts=2, wait=0)
+    tables.write_sharded(rows.where("shard = 0"), f"{tmp_path}/vectors")
+    tables.write_sharded(rows.where("shard > 0"), f"{tmp_path}/vectors", mode="append")
+    tables.write_sharded(rows.where("shard = 1 and id < 10"), f"{tmp_path}/vectors")
+    assert {r.shard: r["count"] for r in spark.read.parquet(f"{tmp_path}/vectors").groupBy("shard").count().collect()} == {0: 100, 1: 3, 2: 100}
+    built = []
+    build = lambda: (built.append(1), rows)[1]
+    assert [tables.reuse(spark, f"{tmp_path}/kept", build, fresh=f).count() for f in (False, False, True)] == [300] * 3 and len(built) == 2
+
+
+def test_shard_jobs_fail_fast_or_collect_errors():
+    tried = []
+
+    def job(name):
+        tried.append(name)
+        if name == "b" or name == "c" and tried.count("c") < 3:
+            raise OSError(name)
+        return name.upper()
+
+    done, failed = tables.for_each_shard(["a", "b", "c"], job, collect_errors=True, attempts=3)
+    assert done == {"a": "A", "c": "C"} and list(failed) == ["b"] and tried.count("b") == 3
+    with pytest.raises(OSError):
+        tables.for_each_shard(["a", "b"], job, at_once=1)
+
+
+def test_a_tensor_file_is_read_by_numpy(spark, tmp_path):
+    rows = spark.createDataFrame([(0, i, [float(i), 0.5]) for i in range(5)], "shard int, row_pos long, vector array<float>")
+    tables.write_f32(rows, str(tmp_path), header=True).collect()
+    assert np.load(f"{tmp_path}/0.npy").tolist() == [[float(i), 0.5] for i in range(5)]
+
+
+def test_a_zip_of_unequal_parts_is_an_error(spark):
+    a, b = (select.with_position(spark.range(n).withColumn("shard", F.col("id") % 2), "shard", "id").withColumnRenamed("id", c) for n, c in ((10, "x"), (9, "y")))
+    with pytest.raises(ValueError, match="differ"):
+        select.zip_by_position(a, b)
+    assert select.zip_by_position(a, a.withColumnRenamed("x", "z")).count() == 10 and select.zip_by_position(a, b, check=False).count() == 9
+
+
+def test_lookup_keeps_order_and_repeats(spark):
+    rows = spark.createDataFrame([(s, i, f"{s}{i}") for s in "ab" for i in range(3)], "shard string, row_pos long, v string")
+    asked = spark.createDataFrame([(0, "b", 2), (1, "a", 0), (2, "b", 2), (3, "a", 9)], "ord int, shard string, row_pos long")
+    assert [r.v for r in select.lookup(asked, rows, "ord").collect()] == ["b2", "a0", "b2", None]
+
+
+def test_windows_of_a_tokenizer_file(spark):
+    import os
+
+    path = "/opt/tokenizers/byte_bpe_50k.json"
+    if not os.path.exists(path):
+        pytest.skip("no tokenizer files here")
+    texts = ["one two three " * 60, "", None, "short text"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tokenizer = text.TokenizerFile(path)
+    for r in text.token_windows_by(docs, 50, lambda: text.TokenizerFile(path), special_tokens=False).collect():
+        ids = tokenizer.encode([texts[r.doc_id] or ""], False)[0]
+        assert r.chunk_tokens == ids[r.chunk_index * 45 : r.chunk_index * 45 + 50] and r.chunk_token_count == len(r.chunk_tokens)
+        assert r.chunk_text == (texts[r.doc_id] if len(ids) <= 50 else tokenizer.decode(r.chunk_tokens))
+
+
+def test_neighbours_of_several_vectors_and_a_stored_index(spark, tmp_path):
+    x = np.random.default_rng(1).normal(size=(400, 16))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(400, None)], "id long, v array<double>")
+    asked = rows.where("id % 50 = 0")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    for block in (1000, 3):
+        got = {(r.query, r.id) for r in search.nearest(rows, asked, "id", "v", 5, block).collect()}
+        assert got == {(q, int(i)) for q in range(0, 400, 50) for i in np.argsort(-x @ x[q], kind="stable")[:5]}
+    exact = search.exact_search(rows, asked, "id", "v", 10)
+    search.build_index(rows, "id", "v", f"{tmp_path}/flat")
+    search.build_index(rows, "id", "v", f"{tmp_path}/pq", sub_vectors=4, codes=32)
+    full = search.search_index(spark, f"{tmp_path}/flat", rows, asked, "id", "v", 10)
+    assert {(r.query, r.id) for r in full.collect()} == {(q, int(i)) for q in range(0, 400, 50) for i in np.argsort(-u @ u[q], kind="stable")[:10]}
+    assert search.recall(search.search_index(spark, f"{tmp_path}/flat", rows, asked, "id", "v", 10, probes=14), exact, "id").first().recall >= 0.9
+    assert search.recall(search.search_index(spark, f"{tmp_path}/pq", rows, asked, "id", "v", 10, shortlist=100), exact, "id").first().recall >= 0.9
