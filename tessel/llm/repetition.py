@@ -32,16 +32,16 @@ def first_places(rank: np.ndarray) -> np.ndarray:
     return (np.cumsum(size) - size)[rank]
 
 
-def suffix_array(symbols: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Suffix array by prefix doubling, and the ranks by the first 1, 2, 4, ... symbols.
+def suffix_array(symbols: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, int]:
+    """Suffix array by prefix doubling, and a length that no two suffixes of a row share.
 
     A suffix ends with its row, and sorts before its extensions. Each doubling sorts only suffixes that
-    still tie, so a text without long repeats costs a few short rounds.
+    still tie, so a text without long repeats costs a few short rounds; only the last ranks are held.
     """
     n = len(symbols)
     rank = first_places(dense(dense(symbols) + row.astype(np.int64) * n))
     last = np.searchsorted(row, row, "right")
-    levels, h = [rank], 1
+    h = 1
     tied = np.flatnonzero(np.bincount(rank, minlength=n)[rank] > 1)
     while len(tied):
         beyond = tied + h
@@ -53,12 +53,37 @@ def suffix_array(symbols: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, list
         at = np.arange(len(a))
         start = np.maximum.accumulate(np.where(new_group, at, 0))
         key = np.maximum.accumulate(np.where(new_key, at, 0))
-        rank = rank.copy()
         rank[tied[order]] = a + (key - start)
-        levels.append(rank)
         h *= 2
         tied = tied[np.bincount(rank, minlength=n)[rank[tied]] > 1]
-    return np.argsort(rank, kind="stable"), levels
+    return np.argsort(rank, kind="stable"), h
+
+
+class Stretches:
+    """Equality of stretches of symbols by sums of symbols times powers, modulo two primes: 32 bytes a symbol, whatever the length."""
+
+    PRIMES, BASES = (2147483647, 2147483629), (1103515245, 1664525009)
+
+    def __init__(self, symbols: np.ndarray) -> None:
+        self.sums, self.powers = [], []
+        for prime, base in zip(map(np.uint64, self.PRIMES), self.BASES, strict=True):
+            powers, step = np.ones(1, np.uint64), base
+            while len(powers) <= len(symbols):
+                powers = np.concatenate((powers, powers * np.uint64(step) % prime))
+                step = step * step % int(prime)
+            powers = powers[: len(symbols) + 1]
+            terms = (symbols.view(np.uint64) % prime) * powers[:-1] % prime
+            self.sums.append(np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms) % prime)))
+            self.powers.append(powers)
+
+    def same(self, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
+        """Whether the ``length`` symbols from a equal those from b, which lie within the symbols."""
+        out, first, gap = np.ones(len(a), bool), np.minimum(a, b), np.abs(a - b)
+        second = first + gap
+        for prime, sums, powers in zip(map(np.uint64, self.PRIMES), self.sums, self.powers, strict=True):
+            x = (sums[first + length] + prime - sums[first]) % prime * powers[gap] % prime
+            out &= x == (sums[second + length] + prime - sums[second]) % prime
+        return out
 
 
 def longest_repeats(symbols: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -70,18 +95,21 @@ def longest_repeats(symbols: np.ndarray, row: np.ndarray) -> np.ndarray:
     n = len(symbols)
     if n < 2:
         return np.zeros(n, np.int64)
-    array, levels = suffix_array(symbols, row)
+    array, most = suffix_array(symbols, row)
     last = np.searchsorted(row, row, "right")
-    i, j, lcp = array[:-1].copy(), array[1:].copy(), np.zeros(n - 1, np.int64)
-    live = np.flatnonzero(levels[0][i] == levels[0][j])
-    for k in range(len(levels) - 1, -1, -1):
-        a, b = i[live] + lcp[live], j[live] + lcp[live]
-        inside = (a + (1 << k) <= last[i[live]]) & (b + (1 << k) <= last[j[live]])
-        same = inside & (levels[k][np.minimum(a, n - 1)] == levels[k][np.minimum(b, n - 1)])
-        lcp[live[same]] += 1 << k
+    lcp = np.zeros(n - 1, np.int64)
+    live = np.flatnonzero((symbols[array[:-1]] == symbols[array[1:]]) & (row[array[:-1]] == row[array[1:]]))
+    i, j = array[live], array[live + 1]
+    stretches, step, depth = Stretches(symbols), most, np.zeros(len(live), np.int64)
+    while step:
+        a, b = i + depth, j + depth
+        inside = np.flatnonzero((a + step <= last[i]) & (b + step <= last[j]))
+        depth[inside[stretches.same(a[inside], b[inside], step)]] += step
+        step //= 2
+    lcp[live] = depth
     out = np.zeros(n, np.int64)
-    np.maximum.at(out, i, lcp)
-    np.maximum.at(out, j, lcp)
+    np.maximum.at(out, array[:-1], lcp)
+    np.maximum.at(out, array[1:], lcp)
     return out
 
 
