@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessel.llm.common import SPACE, save, words_expr
 
 WEIGHTS, MAX_EPOCHS, SEED = (5, 2, 1), 3, "mix-1"
-BUCKET_DIGITS = 4  # of the hexadecimal order key: 65,536 buckets a source
+BUCKET_DIGITS, STEPS = 4, 256  # of the hexadecimal order key: 65,536 buckets a source, in 256 coarse ones
 BROADCAST_SOURCES = 50_000
 
 
@@ -46,8 +46,9 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
     its size. Null text has size 0; null source is the last source; null doc_id has a fixed place; equal
     doc_id order by size, and equal rows are interchangeable. An empty table gives no rows.
 
-    The order is found by sums over buckets of the digest; only a source's boundary bucket (one of
-    65,536) is ever sorted, so a source with a third of all rows is spread over all tasks.
+    The order is found by sums over 256 coarse buckets of the digest, then over the 256 fine ones of the boundary;
+    only a source's boundary bucket (one of 65,536) is ever sorted, so a source with a third of all rows is spread
+    over all tasks.
     """
     key = F.md5(F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
     along = [carry] if carry else []
@@ -56,11 +57,20 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
     buckets = base.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     buckets = save(buckets, "buckets")
     plan = source_plan(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_epochs)
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    filled = buckets.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    p, b = plan.alias("p"), filled.alias("b")
-    edge = p.join(b, F.col("p.source").eqNullSafe(F.col("b.source")) & (F.col("b.before") <= F.col("p.rest")) & (F.col("p.rest") < F.col("b.before") + F.col("b.words")), "left")
-    plan = save(edge.select("p.*", F.col("b.bucket").alias("edge"), F.col("b.before").alias("edge_before")), "plan")
+
+    def edges(sums: DataFrame, plan: DataFrame, step: str) -> DataFrame:
+        """For each source of the plan (with ``rest`` words left) the step that the last word lies in, and the words before it."""
+        before = Window.partitionBy("source").orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
+        p, b = plan.alias("p"), sums.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0))).alias("b")
+        inside = (F.col("b.before") <= F.col("p.left")) & (F.col("p.left") < F.col("b.before") + F.col("b.words"))
+        return p.join(b, F.col("p.source").eqNullSafe(F.col("b.source")) & inside, "left").select("p.*", f"b.{step}", "b.before")
+
+    coarse = buckets.groupBy("source", F.expr(f"bucket div {STEPS}").alias("coarse")).agg(F.sum("words").alias("words"))
+    found = edges(coarse, plan.withColumn("left", F.col("rest")), "coarse").withColumnsRenamed({"coarse": "edge_coarse", "before": "edge_before"})
+    fine = buckets.join(found.select(F.col("source").alias("_source"), "edge_coarse"), F.col("source").eqNullSafe(F.col("_source")) & (F.expr(f"bucket div {STEPS}") == F.col("edge_coarse"))).select("source", "bucket", "words")
+    edge = edges(fine, found.withColumn("left", F.col("rest") - F.col("edge_before")), "bucket")
+    edge = edge.select("source", "source_size", "target", "whole", "rest", F.col("bucket").alias("edge"), (F.col("edge_before") + F.col("before")).alias("edge_before"))
+    plan = save(edge, "plan")
     if plan.count() <= BROADCAST_SOURCES:
         plan = F.broadcast(plan)
     rows = base.join(plan.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")))
