@@ -99,6 +99,36 @@ def test_repetition_equals_plain(docs):
         assert (r.n_words, r.n_repeat_words, r.covered_words, r.longest_repeat) == (len(w), cover(8), cover(5), longest)
 
 
+def test_long_repeats_take_memory_by_words_only():
+    import tracemalloc
+
+    n = 400_000
+    symbols, row = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    tracemalloc.start()
+    assert repetition.longest_repeats(symbols, row)[:3].tolist() == [n - 1, n - 1, n - 2]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250 * n
+
+
+def test_longest_repeats_equal_plain():
+    r = np.random.default_rng(3)
+    for n, letters in [(60, 2), (60, 1), (80, 5), (50, 50)]:
+        symbols, row = r.integers(-(2**62), 2**62, letters)[r.integers(0, letters, n)], np.repeat([0, 1], [n // 3, n - n // 3])
+        plain = []
+        for i in range(n):
+            end = n // 3 if i < n // 3 else n
+            begin = 0 if i < n // 3 else n // 3
+            most = 0
+            for j in range(begin, end):
+                k = 0
+                while i != j and max(i, j) + k < end and symbols[i + k] == symbols[j + k]:
+                    k += 1
+                most = max(most, k)
+            plain.append(most)
+        assert repetition.longest_repeats(symbols, row).tolist() == plain
+
+
 def test_mixing_meets_targets(docs):
     rows = mixing.mix_sources(docs).collect()
     assert len(rows) == docs.count()
@@ -167,6 +197,54 @@ def test_a_hot_passage_gives_a_row_for_each_place_not_each_pair(spark, monkeypat
     assert saved["windows_10"].where(F.size("ids") == 60).count() == 7 and max(t.count() for t in saved.values()) < 60 * 10
 
 
+@pytest.mark.parametrize("marks", [("<|", "|>", "<|end|>"), ("ab", "x", "bc"), ("[", "]", "\n"), ("###", " says ", "###x"), ("aa", "a", "ba")])
+def test_escapes_follow_from_any_template(spark, marks):
+    template = chat.Template(*marks)
+    r = random.Random(1)
+    letters = [*"".join(marks), *marks, "\\", "a", "b", " ", "\n", "é"]
+    turns = [(c, i, r.choice(["user", "us|>er", "a b", "x" + r.choice(letters), ""]), "".join(r.choice(letters) for _ in range(r.randrange(12)))) for c in range(30) for i in range(3)]
+    segments = chat.format_chat(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"), template)
+    segments.repartition(5).write.parquet(path := scratch_path(spark, "segments"))  # any order of rows
+    got = {r.conv_id: r for r in chat.read_back(spark.read.parquet(path), template).collect()}
+    for c in range(30):
+        own = "".join(f"{role}\n{t}\n" for k, _, role, t in turns if k == c)
+        assert (got[c].n_turns, got[c].turns_sha256) == (3, hashlib.sha256(own.encode()).hexdigest())
+
+
+def test_templates_that_cannot_be_undone_are_refused():
+    for marks in (("", "b", "c"), ("a", "b", ""), ("a\\", "b", "c"), ("a", "b", "abab")):
+        with pytest.raises(ValueError, match="mark|overlap"):
+            chat.Template(*marks)
+
+
+def test_gaps_are_told_and_archives_bounded(spark):
+    import os
+
+    pages = [(i, f"u{i}", "x" * (40 + 1000 * (i % 3 == 0)) + str(i)) for i in range(60)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    warc.write_archives(df, path := scratch_path(spark, "bounded"), archive_records=32, archive_bytes=8192)
+    got = warc.read_archives(spark, path)
+    assert got.where("kind = 'record'").count() == 60
+    by_file = got.groupBy("path").agg(F.sum("payload_bytes").alias("b"), F.count("*").alias("n")).collect()
+    assert all(r.b <= 8192 and r.n <= 32 for r in by_file) and len(by_file) > 4
+    name = by_file[0].path.removeprefix("file:")
+    data = open(name, "rb").read()  # noqa: SIM115
+    os.makedirs(hurt := name + ".d")
+    with open(f"{hurt}/a.warc.gz", "wb") as f:
+        f.write(b"junk" + data + b"WARC/1.1\r\nno end")
+    rows = warc.read_archives(spark, f"file:{hurt}").orderBy("start_byte").collect()
+    assert [(r.start_byte, r.end_byte, r.reason) for r in rows if r.kind == "gap"] == [(0, 4, "no member or version line"), (4 + len(data), 4 + len(data) + 16, "header without end")]
+    assert sum(r.kind == "record" for r in rows) == by_file[0].n
+
+
+def test_no_pages_and_repeated_page_ids(spark):
+    warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path := scratch_path(spark, "none"))
+    pages = [(1, "u", "y" * 200, 7), (1, "u", "y" * 200, 7), (None, "u", "y" * 200, 7), (2, "u", "y" * 200, 7), (None, "u", "z" * 200, 7), (None, "u", "z" * 200, 7)]
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string, first_id int"), path := scratch_path(spark, "ties"))
+    got = sorted((r.record_id, r.record_type, r.refers_to or "") for r in warc.read_archives(spark, path).collect())
+    assert got == sorted([("urn:page:1", "response", "")] * 2 + [("urn:page:2", "revisit", "urn:page:1"), ("urn:page:null", "revisit", "urn:page:1")] + [("urn:page:null", "response", "")] * 2)
+
+
 def test_chat_reads_back_what_it_wrote(spark):
     odd = ["", "\\", "\\\\###", "</turn>\n", "### user: hi</turn>\n", "####", "\\</turn>", None, "é\n" * 3]
     turns = [(1, i, ["user", "assistant"][i % 2], t) for i, t in enumerate(odd)] + [(2, 0, "assistant", "x"), (3, 0, "system", "s"), (3, 1, "user", "u"), (None, None, None, None), (4, 1, "a:b#<\\", "t"), (4, 1, "a:b#<\\", "t")]
