@@ -254,21 +254,26 @@ def crowd_links(crowds: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return crowds.join(full, "sid").repartition(n, "node").sortWithinPartitions("node", "sid").mapInArrow(run, "a binary, b binary")
 
 
-def settle(pairs: DataFrame | None, parts: DataFrame, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
+def settle(pairs: DataFrame | None, parts: DataFrame | None, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:
     """The links (a, b) that full sets confirm among likely pairs and within likely parts."""
-    parts = save(parts, "parts")
-    likely = parts.where("part is null").select("a", "b")
-    pairs = save((likely if pairs is None else pairs.union(likely)).distinct(), "pairs")
-    members = parts.where("part is not null").select(F.col("part").alias("node"), F.col("a").alias("sid"))
-    same = members.groupBy("node").agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("sid"), F.lit(1 << 40))).alias("mark")).groupBy("n", "mark").agg(F.min("node").alias("node"))
-    crowds = save(members.join(same.select("node"), "node", "left_semi"), "crowds")
-    asked = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(crowds.select("sid"))
+    if parts is None:
+        pairs, crowds = save(pairs.distinct(), "pairs"), None
+        asked = pairs.select(F.col("a").alias("sid")).union(pairs.select("b"))
+    else:
+        parts = save(parts, "parts")
+        likely = parts.where("part is null").select("a", "b")
+        pairs = save((likely if pairs is None else pairs.union(likely)).distinct(), "pairs")
+        members = parts.where("part is not null").select(F.col("part").alias("node"), F.col("a").alias("sid"))
+        same = members.groupBy("node").agg(F.count("*").alias("n"), F.sum(F.pmod(F.xxhash64("sid"), F.lit(1 << 40))).alias("mark")).groupBy("n", "mark").agg(F.min("node").alias("node"))
+        crowds = save(members.join(same.select("node"), "node", "left_semi"), "crowds")
+        asked = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).union(crowds.select("sid"))
+        discard(parts)
     full = full_sets(asked, docs, reps, k)
     found = verified(pairs, full, percent)
-    if not crowds.isEmpty():
+    if crowds is not None and not crowds.isEmpty():
         found = found.union(crowd_links(crowds, full, percent))
     found = save(found.distinct(), "links")
-    discard(full, pairs, crowds, parts)
+    discard(full, pairs, *([] if crowds is None else [crowds]))
     free_shuffles(docs.sparkSession)
     return found
 
@@ -293,12 +298,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     Documents with 100 * intersection >= ``percent`` * union of their shingle sets are linked; component_id
     is the least doc_id that links reach. Texts with equal sets are one node. Every tree sends each document
     to the nodes that its minwise tokens name. Nodes of up to ``SMALL_NODE`` documents compare all pairs of sketches
-    and confirm the likely ones on full sets; nodes of up to ``CROWD`` split by sketches
-    into likely parts, and each part compares all full sets at once and returns what spans its components, so a group of near copies never becomes a row for each pair. Larger
-    nodes compare their documents with one leader and, unless that makes them one component, in blocks: every two
-    blocks are such a crowd, in which pairs of one component are left out. So a pair at the threshold that meets in any
+    and confirm the likely ones on full sets. Larger nodes compare their documents with one leader first; those that this
+    does not make one component are crowds, of every two blocks beyond ``CROWD`` documents. A crowd splits
+    by sketches of documents not yet linked into likely parts, and each part compares all full sets at once and returns what
+    spans its components, so a group of near copies never becomes a row for each pair. So a pair at the threshold that meets in any
     node, however large, is compared; ``plan`` chooses trees and sketches that miss 1 - ``recall`` of such pairs at most.
-    No document is ever left out of a node, and nothing but counts comes to the driver.
+    No document is ever left out of a node, and nothing but counts comes to the driver. Columns but doc_id and text are
+    left out, and an empty table gives no rows.
 
     Null or empty text has no shingles, no links, and its own doc_id. Rows that repeat a doc_id are rows of
     one document; rows without doc_id link others, but give no component its id (alone they have null).
@@ -323,21 +329,23 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     rows = save(branch(reps, paths).select("node", "sid", "n_shingles", "doc", "s0", "s1", "s2", "s3"), "nodes")
     sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"), F.sum(F.pmod(F.xxhash64("sid"), F.lit(1 << 40))).alias("mark"), F.min(F.struct("doc", "sid", "s0", "s1", "s2", "s3")).alias("first"))
     sizes = save(sizes.where("n > 1"), "node_sizes")
-    fits = (F.col("n") <= CROWD) & (F.col("weight") <= CROWD_SHINGLES)
     small = rows.join(sizes.where(F.col("n") <= SMALL_NODE).select("node"), "node", "left_semi")
     x, y = small.alias("x"), small.alias("y")
     pairs = x.join(y, (F.col("x.node") == F.col("y.node")) & (F.col("x.sid") < F.col("y.sid")) & (agreement("x", "y") >= need)).select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"))
     distinct = sizes.where(F.col("n") > SMALL_NODE).groupBy("n", "weight", "mark").agg(F.min(F.struct("node", "first")).alias("one")).select("n", "weight", "one.*")  # one of those with the same documents
-    large = save(distinct.where(~fits), "large")
+    large = save(distinct, "large")
     star = rows.alias("x").join(large.select("node", "first.*").alias("y"), (F.col("x.node") == F.col("y.node")) & (F.col("x.sid") != F.col("y.sid")) & (agreement("x", "y") >= need))
     pairs = pairs.union(star.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")))
-    crowded = rows.join(distinct.where(fits).select("node"), "node", "left_semi").withColumn("root", F.lit(None).cast("binary"))
-    links = settle(pairs, likely_parts(crowded, need), docs, reps, shingle, percent)
+    links = settle(pairs, None, docs, reps, shingle, percent)
     if not large.isEmpty():
         roots = components(links)
-        joined = rows.join(large.select("node", "n", "weight"), "node").join(roots, "sid", "left")
+        joined = save(rows.join(large.select("node", "n", "weight"), "node").join(roots, "sid", "left").drop("doc", "n_shingles"), "crowded")
         whole = joined.groupBy("node").agg(F.min(F.coalesce("root", "sid")).alias("x"), F.max(F.coalesce("root", "sid")).alias("y")).where("x = y").select("node")
-        links = links.union(settle(None, likely_parts(in_blocks(joined.join(whole, "node", "left_anti")), need), docs, reps, shingle, percent))
+        left = save(joined.join(whole, "node", "left_anti"), "open")
+        discard(joined)
+        fits = (F.col("n") <= CROWD) & (F.col("weight") <= CROWD_SHINGLES)
+        crowds = left.where(fits).unionByName(in_blocks(left.where(~fits)), allowMissingColumns=True)
+        links = links.union(settle(None, likely_parts(crowds, need), docs, reps, shingle, percent))
     roots = components(links)
     copies = some.groupBy("sid").agg(F.min("doc_id").alias("first"))
     owned = copies.join(roots, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
