@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessel.llm.common import together
 
 @dataclass(frozen=True)
 class Template:
@@ -59,9 +60,8 @@ _SEGMENTS = "conv_id long, seq long, kind string, segment string, loss boolean,
 
 
 def _in_turn_order(conversations: DataFrame) -> DataFrame:
-    n = int(conversations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = conversations.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.repartition(n, "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return together(rows, ["conv_id"], ["conv_id", "turn", "role", "text"])
 
 
 def _batches(rows: Iterator[tuple], names: list[str], types: list[pa.DataType], per: int = 4096) -> Iterator[pa.RecordBatch]:
@@ -172,6 +172,5 @@ def read_back(segments: DataFrame, template: Template = TEMPLATE) -> DataFrame:
 
         yield from _batches(digests(), [x.split()[0] for x in schema.split(", ")], [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()])
 
-    n = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = segments.select("conv_id", "seq", "kind", "segment", "loss", "valid", "note").repartition(n, "conv_id").sortWithinPartitions("conv_id", "seq")
+    ordered = together(segments.select("conv_id", "seq", "kind", "segment", "loss", "valid", "note"), ["conv_id"], ["conv_id", "seq"])
     return ordered.mapInArrow(run, schema)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessel.llm.common import discard, free_shuffles, map_batches, save, windows, word_hashes
+from tessel.llm.common import discard, free_shuffles, map_batches, save, together, windows, word_hashes
 
 SHINGLE, PERCENT, RECALL = 5, 80, 0.99999
 COORDINATES, BRANCHES, DEPTH = 64, 2, 2
@@ -208,9 +208,8 @@ def likely_parts(crowds: DataFrame, need: int) -> DataFrame:
         if sids:
             yield flush()
 
-    n = int(crowds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     crowds = crowds.select("node", "sid", "root", "s0", "s1", "s2", "s3")
-    return crowds.repartition(n, "node").sortWithinPartitions("node", "sid").mapInArrow(run, "part long, a binary, b binary")
+    return together(crowds, ["node"], ["node", "sid"]).mapInArrow(run, "part long, a binary, b binary")
 
 
 def _find(root, i: int) -> int:  # noqa: ANN001
@@ -250,8 +249,7 @@ def crowd_links(crowds: DataFrame, full: DataFrame, percent: int) -> DataFrame:
         if sets:
             yield flush()
 
-    n = int(crowds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return crowds.join(full, "sid").repartition(n, "node").sortWithinPartitions("node", "sid").mapInArrow(run, "a binary, b binary")
+    return together(crowds.join(full, "sid"), ["node"], ["node", "sid"]).mapInArrow(run, "a binary, b binary")
 
 
 def settle(pairs: DataFrame | None, parts: DataFrame | None, docs: DataFrame, reps: DataFrame, k: int, percent: int) -> DataFrame:

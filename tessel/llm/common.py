@@ -208,6 +208,16 @@ def words_expr(text):
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(f"[^{SPACE}]+")).cast("long")
 
 
+def together(df: DataFrame, keys: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
+    """All rows of equal ``keys`` in one task, sorted by ``order``.
+
+    Dealt by a hash of the keys: after a join on the keys themselves Spark would take a plain repartition by them for
+    done, and its handling of skewed joins could then split one key's rows over tasks.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, F.xxhash64(*keys)).sortWithinPartitions(*order)
+
+
 def stream_by_shard(tables: DataFrame, rows: DataFrame, f: Callable, schema: str, partitions: int, row_bytes: int = 64 << 20) -> DataFrame:
     """Routes ``rows`` (shard, size, ...) to the entries of ``tables`` (shard, ...) of their shard, and streams them.
 
@@ -221,7 +231,7 @@ def stream_by_shard(tables: DataFrame, rows: DataFrame, f: Callable, schema: str
     fill = lambda df, own, other: [F.lit(None).cast(other.schema[c].dataType).alias(c) for c in own]
     left = tables.join(spread, "shard").withColumn("way", F.explode(F.sequence(F.lit(0), F.col("ways") - 1))).select("shard", "way", F.lit(0).alias("kind"), *both[0], *fill(rows, both[1], rows))
     right = rows.join(spread, "shard").withColumn("way", F.pmod(F.xxhash64(*both[1][:1]), F.col("ways")).cast("int")).select("shard", "way", F.lit(1).alias("kind"), *fill(tables, both[0], tables), *both[1])
-    dealt = left.unionByName(right).repartition(partitions, "shard", "way").sortWithinPartitions("shard", "way", "kind")
+    dealt = together(left.unionByName(right), ["shard", "way"], ["shard", "way", "kind"], partitions)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from f(_groups(batches, both))

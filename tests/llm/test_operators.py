@@ -256,6 +256,23 @@ def test_chat_reads_back_what_it_wrote(spark):
     assert [got[c].valid for c in (1, 2, 3, 4)] == [True, False, True, False]
 
 
+def test_rows_of_a_key_stay_together_after_a_skewed_join(spark):
+    from tessel.llm.common import save, together
+
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = save(spark.range(40_000, numPartitions=8).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id") % 50).alias("node"), "id"), "rows")
+        nodes = save(spark.range(50).withColumnRenamed("id", "node"), "nodes")
+        at = save(together(rows.join(nodes, "node", "left_semi"), ["node"], ["node", "id"]).withColumn("task", F.spark_partition_id()), "at")
+        assert at.groupBy("node").agg(F.count_distinct("task").alias("tasks")).where("tasks > 1").count() == 0 and at.count() == 40_000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_language_on_held_out_rows(spark):
     found = entries.op7_langid(spark, "/root/testdata/sf0.01").join(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     held = [r for r in found if r.held_out]
