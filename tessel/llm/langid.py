@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import compress, repeat
 
@@ -12,12 +13,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessel.llm.common import map_batches
+from tessel.llm.common import map_batches, release, save, scratch_of
 
 #: Bounds of the model: labelled documents of a language that are read for it (as expected by a hash of
-#: doc_id), words kept of a language, the longest n-gram, n-grams kept of a length and language.
-SAMPLE_DOCS, WORDS, LONGEST, GRAMS = 4_000, 20_000, 5, 20_000
+#: doc_id), words kept of a language and their letters at most, the longest n-gram, n-grams kept of a length and language.
+SAMPLE_DOCS, WORDS, LETTERS, LONGEST, GRAMS = 4_000, 20_000, 64, 5, 20_000
 CACHE, CACHE_BYTES = 300_000, 16 << 20  # words scored by n-grams that a task remembers
+FLUSH = 100_000  # n-grams that a task counts before it sends them on
 NO_EVIDENCE = 0.25  # the highest score of a prediction by class shares alone
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -105,7 +107,7 @@ class Model:
             new = list(compress(counts, ~old))
             scores = self.unseen(new)
             total = total + times[~old] @ scores
-            first, keep = len(self.rows), [i for i, w in enumerate(new) if len(w) <= 64][: self.room - len(self.rows)]  # longer runs hardly come again
+            first, keep = len(self.rows), [i for i, w in enumerate(new) if len(w) <= LETTERS][: self.room - len(self.rows)]  # longer runs hardly come again
             self.table[first : first + len(keep)] = scores[keep]
             self.rows.update(zip((new[i] for i in keep), range(first, first + len(keep)), strict=True))
         if not total.any():
@@ -123,11 +125,38 @@ def _log_shares(counts: dict[str, np.ndarray], totals: np.ndarray) -> tuple[dict
     return {k: i for i, k in enumerate(counts)}, (scores - scores.mean(1, keepdims=True)).astype(np.float32)
 
 
+def gram_counts(words: DataFrame) -> DataFrame:
+    """(lang, word, n) -> (size, gram, lang, n): the n-grams of whole words, whatever their length, with the words' edges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[tuple[int, str, str]] = Counter()
+
+        def flush() -> pa.RecordBatch:
+            columns = [*zip(*counts, strict=True)] if counts else [(), (), ()]
+            n = pa.array(counts.values(), pa.int64())
+            out = pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string()), n], ["size", "gram", "lang", "n"])
+            counts.clear()
+            return out
+
+        for batch in batches:
+            for lang, word, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "word", "n")), strict=True):
+                padded = f"_{word}_"
+                for a in range(len(padded)):
+                    for size in range(1, min(LONGEST, len(padded) - a) + 1):
+                        counts[size, padded[a : a + size], lang] += n
+                    if len(counts) > FLUSH:
+                        yield flush()
+        yield flush()
+
+    return words.select("lang", "word", "n").mapInArrow(run, "size int, gram string, lang string, n long").groupBy("size", "gram", "lang").agg(F.sum("n").alias("n"))
+
+
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, words: int = WORDS) -> Model:
     """Fits word and n-gram log frequencies on the labelled rows whose crc32(doc_id) mod 4 is not 2.
 
     Of each language about ``sample_docs`` documents are read, chosen by a hash of doc_id, so the model's
-    cost and size are bounded whatever the table's. Rows without lang, text or doc_id teach nothing; rows
+    cost and size are bounded whatever the table's. The words are those of at most ``LETTERS`` letters; longer runs
+    teach their n-grams, all of them. Rows without lang, text or doc_id teach nothing; rows
     repeated count as often as they occur; languages are in code point order.
     """
     rows = docs.select("doc_id", "text", "lang").where("doc_id is not null and text is not null and lang is not null").where(~F.coalesce(held_out(), F.lit(False)))
@@ -138,24 +167,30 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, words: int = WORDS) -
     part = F.create_map(*(F.lit(x) for lang, n in known for x in (lang, min(1.0, sample_docs / n))))
     drawn = rows.where(F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(7)), F.lit(1_000_003)) < part[F.col("lang")] * 1_000_003)
     tokens = drawn.select("lang", F.explode(F.expr(r"regexp_extract_all(lower(text), '\\p{L}+', 0)")).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    ranked = tokens.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("rank") <= words)
+    short = F.length("word") <= LETTERS
+    ranked = tokens.withColumn("rank", F.when(short, F.row_number().over(Window.partitionBy("lang", short).orderBy(F.desc("n"), "word")))).where(~short | (F.col("rank") <= words)).select("lang", "word", "n")
+    with scratch_of("language model"):
+        ranked = save(ranked, "words")
+        counted = save(gram_counts(ranked), "grams")
     at = {x: i for i, x in enumerate(langs)}
-    by_word: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(langs)))
-    by_gram: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros(len(langs))) for _ in range(LONGEST)]
-    for r in sorted(ranked.collect()):
-        by_word[r.word][at[r.lang]] += r.n
-        padded = f"_{r.word[:64]}_"
-        for n in range(1, LONGEST + 1):
-            for i in range(len(padded) - n + 1):
-                by_gram[n - 1][padded[i : i + n]][at[r.lang]] += r.n
-    totals = sum(by_word.values(), np.zeros(len(langs)))
-    index, scores = _log_shares(by_word, totals)
+
+    def by_lang(rows: list) -> dict[str, np.ndarray]:
+        out: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(langs)))
+        for key, lang, n in rows:
+            out[key][at[lang]] += n
+        return out
+
+    by_word = by_lang(sorted((r.word, r.lang, r.n) for r in ranked.where(short).collect()))
+    index, scores = _log_shares(by_word, sum(by_word.values(), np.zeros(len(langs))))
+    sums = by_lang([(r["size"], r.lang, r.n) for r in counted.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()])
     grams, tables = {}, []
-    for counts in by_gram:
-        top = dict(sorted(counts.items(), key=lambda x: (-x[1].sum(), x[0]))[: GRAMS * len(langs)])
-        own, table = _log_shares(top, sum(counts.values(), np.zeros(len(langs))))
+    for size in range(1, LONGEST + 1):
+        rows = counted.where(F.col("size") == size).groupBy("gram").agg(F.sum("n").alias("all"), F.collect_list(F.struct("lang", "n")).alias("by"))
+        top = rows.orderBy(F.desc("all"), "gram").limit(GRAMS * len(langs)).collect()
+        own, table = _log_shares(by_lang([(r.gram, x.lang, x.n) for r in top for x in r.by]), sums[size])
         grams |= {k: i + len(grams) for k, i in own.items()}
         tables.append(table)
+    release(docs.sparkSession, "language model")
     shares = np.array([n for _, n in known], np.float64)
     return Model(langs, index, scores, grams, np.concatenate(tables), shares / shares.sum())
 

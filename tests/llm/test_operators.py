@@ -577,3 +577,29 @@ def test_decontamination_judges_each_row(spark, tmp_path):
 def test_language_of_a_long_run_is_told_by_all_of_it():
     model = langid.Model(["de", "en"], {}, np.zeros((0, 2)), {"a": 0, "b": 1}, np.array([[0.5, -0.5], [-0.5, 0.5]]))
     assert [model.predict(t)[0] for t in ("a" * 64, "a" * 64 + "b" * 200)] == ["de", "en"]
+
+
+def test_language_learns_from_all_of_a_long_run(spark):
+    rows = [(1, "a" * 64 + "b" * 300, "de"), (3, "a" * 64 + "c" * 300, "en")]
+    rows = [(i, t, x) for k in range(40) for i, t, x in [(100 * k + j, t, x) for j, t, x in rows] if zlib.crc32(str(i).encode()) % 4 != 2]
+    model = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.words == {} and model.grams.keys() >= {"bbbbb", "ccccc", "aabbb", "b", "c_"}
+    assert [model.predict(t)[0] for t in ("bbb", "ccc", "a" * 64 + "b" * 90, "c" * 500)] == ["de", "en", "de", "en"]
+
+
+def test_language_model_equals_plain_counts(spark):
+    from collections import Counter
+
+    r = random.Random(12)
+    words = ["".join(r.choice("abcäж") for _ in range(r.choice((1, 3, 6, 9, 80)))) for _ in range(120)]
+    rows = spark.createDataFrame([(r.choice(("de", "en")), w, i + 1) for i, w in enumerate(words)], "lang string, word string, n long")
+    expected = Counter()
+    for lang, word, n in rows.collect():
+        for size in range(1, langid.LONGEST + 1):
+            for i in range(len(word) + 3 - size):
+                expected[size, f"_{word}_"[i : i + size], lang] += n
+    old, langid.FLUSH = langid.FLUSH, 50
+    try:
+        assert {(x["size"], x.gram, x.lang): x.n for x in langid.gram_counts(rows).collect()} == expected
+    finally:
+        langid.FLUSH = old
