@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessel.llm.common import save
+from tessel.llm.common import discard, save
 
 #: The base kinds in their order. The patterns accept what the plain ones do, but never look
 #: at a run of characters twice: a run whose first place fails fails at its later places too.
@@ -233,6 +234,40 @@ def span_classifier(examples: dict[tuple[str, ...], tuple[float, int]], rounds:
     return {f: sigmoid(x) for f, x in z.items()}
 
 
+def blocks_of(spans: Column) -> Column:
+    """Spans sorted by start, cut into about as many blocks as a block has spans: array<struct<lo, hi, items>>."""
+
+    def cut(sorted_spans: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(sorted_spans))).cast("int")
+
+        def block(i: Column) -> Column:
+            items = F.slice(sorted_spans, i * width + 1, width)
+            return F.transform(F.array(items), lambda x: F.struct(F.element_at(x, 1)["start"].alias("lo"), F.array_max(F.transform(x, lambda y: y["end"])).alias("hi"), x.alias("items")))
+
+        cuts = F.flatten(F.transform(F.sequence(F.lit(0), F.floor((F.size(sorted_spans) - 1) / width).cast("int")), block))
+        return F.when(F.size(sorted_spans) > 0, cuts)
+
+    return F.element_at(F.transform(F.array(F.array_sort(spans)), cut), 1)
+
+
+def without(spans: Column, others: Column, beats: Callable[[Column, Column], Column] | None = None) -> Column:
+    """``spans`` less those that touch one of ``others`` (that ``beats`` them, if given).
+
+    A span is compared with the blocks of the others and within those that it touches, so the cost of a
+    text grows with the power 1.5 of its spans where few overlap.
+    """
+    touch = lambda a, lo, hi: (a["start"] < hi) & (lo < a["end"])
+
+    def hit(c: Column, x: Column) -> Column:
+        return touch(c, x["start"], x["end"]) & beats(x, c) if beats else touch(c, x["start"], x["end"])
+
+    def free(blocks: Column) -> Column:
+        return F.filter(spans, lambda c: ~F.exists(blocks, lambda b: touch(c, b["lo"], b["hi"]) & F.exists(b["items"], lambda x: hit(c, x))))
+
+    bound = F.element_at(F.transform(F.array(blocks_of(others)), free), 1)  # the blocks are made once
+    return F.when((F.size(spans) == 0) | (F.size(others) == 0), spans).otherwise(bound)
+
+
 def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` (doc_id, text, any other columns) -> (doc_id, spans: array<struct<start, ord, end, kind, base>>), a row per row, in code points, by start and kind.
 
@@ -250,11 +285,12 @@ def find_personal_data(docs: DataFrame, threshold: float = THRESHOLD) -> DataFra
         return F.transform(base_spans(text, k), lambda x: F.struct(x["start"].alias("start"), F.lit(ordinal[k]).alias("ord"), x["end"].alias("end"), F.lit(k).alias("kind"), F.lit(True).alias("base")))
 
     base = F.concat(*map(spans, KINDS))
-    found = save(docs.select(F.col("doc_id").cast("long"), base.alias("base"), candidate_spans(text).alias("more")), "spans")
-    free = F.expr("filter(more, c -> not exists(base, b -> c.start < b.end and b.start < c.end))")
+    scanned = save(docs.select(F.col("doc_id").cast("long"), base.alias("base"), candidate_spans(text).alias("more")), "spans")
     rank = F.create_map(*(F.lit(x) for i, k in enumerate(CANDIDATES) for x in (k, i)))
-    alone = F.filter("more", lambda c: ~F.exists("more", lambda b: (rank[b["kind"]] < rank[c["kind"]]) & (c["start"] < b["end"]) & (b["start"] < c["end"])))
-    found = found.withColumn("more", F.when(F.size("more") > 0, free).otherwise(F.col("more"))).withColumn("more", F.when(F.size("more") > 1, alone).otherwise(F.col("more")))
+    found = scanned.withColumn("more", without(F.col("more"), F.col("base")))
+    found = found.withColumn("more", F.when(F.size("more") > 1, without(F.col("more"), F.col("more"), lambda x, c: rank[x["kind"]] < rank[c["kind"]])).otherwise(F.col("more")))
+    found = save(found, "candidates")
+    discard(scanned)
     each = found.where(F.size("more") > 0).select(F.explode("more").alias("c")).groupBy("c.votes", "c.features").count()
     tallies = save(each, "tallies")
     patterns = lambda rows: {(p[0], *map(int, p[1:])): n for v, n in rows for p in [v.split("|")]}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -603,3 +604,23 @@ def test_language_model_equals_plain_counts(spark):
         assert {(x["size"], x.gram, x.lang): x.n for x in langid.gram_counts(rows).collect()} == expected
     finally:
         langid.FLUSH = old
+
+
+def test_spans_of_a_long_text_are_compared_in_blocks(spark):
+    r = random.Random(21)
+    span = lambda k, wide: (a := r.randrange(4000), a + r.randrange(1, wide), k)
+    rows = [([span(r.choice("ab"), 30) for _ in range(n)], [span("b", 12) for _ in range(m)]) for n, m in ((0, 0), (0, 5), (5, 0), (1, 1), (60, 70), (300, 90), (90, 300))]
+    kind = "array<struct<start:int,end:int,kind:string>>"
+    got = spark.createDataFrame([(i, *x) for i, x in enumerate(rows)], f"i int, x {kind}, y {kind}").select("i", pii.without(F.col("x"), F.col("y")).alias("free"), pii.without(F.col("x"), F.col("x"), lambda a, b: a["kind"] < b["kind"]).alias("first")).collect()
+    touch = lambda a, b: a[0] < b[1] and b[0] < a[1]
+    for row in got:
+        x, y = rows[row.i]
+        assert [tuple(s) for s in row.free] == [s for s in x if not any(touch(s, o) for o in y)]
+        assert [tuple(s) for s in row.first] == [s for s in x if not any(touch(s, o) and o[2] < s[2] for o in x)]
+
+
+def test_personal_data_in_a_text_of_many_spans(spark):
+    text = " ".join(f"token = \"{i:08x}{i * 7:08x}{i * 13:08x}\" x{i}@b.org" for i in range(20000))
+    start = time.time()
+    row = pii.find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).select(F.size(F.filter("spans", lambda s: s["kind"] == "email")).alias("email"), F.size(F.filter("spans", lambda s: s["kind"] == "secret")).alias("secret")).first()
+    assert row.email == 20000 and row.secret > 19000 and time.time() - start < 100
