@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +35,27 @@ def with_position(rows: DataFrame, shard: str, key: str) -> DataFrame:
     return rows.withColumn("row_pos", (F.row_number().over(Window.partitionBy(shard).orderBy(key)) - 1).cast("long"))
 
 
+def with_total_position(rows: DataFrame, key: str, ties: tuple[str, ...] = ()) -> DataFrame:
+    """row_pos from 0 over all rows of all files, by a numeric key (nulls last), then by ``ties``.
+
+    Ranges of the key, of about as many rows each, are numbered beside each other, so no task gets all rows. A range
+    follows from the key alone: quantiles need only be near, and repeated keys stay together.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bounds = np.unique(rows.approxQuantile(key, [i / n for i in range(1, n)], 0.25 / n)) if n > 1 else np.empty(0)
+
+    @F.pandas_udf("int")
+    def part(x: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, x, side="right"))
+
+    parted = rows.withColumn("_part", part(key))
+    sizes = np.zeros(len(bounds) + 1, dtype=np.int64)
+    for r in parted.groupBy("_part").agg(F.count("*").alias("n")).collect():  # n rows at most
+        sizes[r._part] = r.n
+    within = F.row_number().over(Window.partitionBy("_part").orderBy(F.asc_nulls_last(key), *ties))
+    return parted.withColumn("row_pos", F.get(F.lit(np.cumsum(sizes) - sizes), F.col("_part")) + within - 1).drop("_part")
+
+
 def zip_by_position(*parts: DataFrame, on: tuple[str, str] = ("shard", "row_pos"), check: bool = True) -> DataFrame:
     """Rows of the same shard and position side by side. With ``check`` a shard with unequal numbers of rows is an error: nothing is dropped without a word."""
     if check:

@@ -218,3 +218,22 @@ def test_neighbours_of_several_vectors_and_a_stored_index(spark, tmp_path):
     assert {(r.query, r.id) for r in full.collect()} == {(q, int(i)) for q in range(0, 400, 50) for i in np.argsort(-u @ u[q], kind="stable")[:10]}
     assert search.recall(search.search_index(spark, f"{tmp_path}/flat", rows, asked, "id", "v", 10, probes=14), exact, "id").first().recall >= 0.9
     assert search.recall(search.search_index(spark, f"{tmp_path}/pq", rows, asked, "id", "v", 10, shortlist=100), exact, "id").first().recall >= 0.9
+
+
+def test_corpus_positions_run_over_all_files_by_key(spark, tmp_path):
+    ids = np.random.default_rng(3).permutation(300) * 7 - 50
+    for k in range(3):
+        spark.createDataFrame([("t", int(i), f"l{i}") for i in ids[k * 100 : k * 100 + 100]], "text string, doc_id long, lang string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/documents.parquet")
+    got = catalogue.QUERIES["corpus_positions"](spark, str(tmp_path))
+    assert got.schema["row_pos"].dataType.simpleString() == "bigint"
+    assert sorted(map(tuple, got.collect())) == [(i, n, f"l{i}") for n, i in enumerate(sorted(map(int, ids)))]
+
+
+def test_total_positions_of_repeated_null_and_no_keys(spark):
+    keys = [5] * 60 + [None, None] + list(range(40)) + [2**62, 2**62 + 1]
+    rows = spark.createDataFrame(list(zip(keys, range(len(keys)), strict=True)), "k long, t long")
+    got = [(r.k, r.t) for r in sorted(select.with_total_position(rows, "k", ("t",)).collect(), key=lambda r: r.row_pos)]
+    assert got == sorted(zip(keys, range(len(keys)), strict=True), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    assert sorted(r.row_pos for r in select.with_total_position(rows, "k", ("t",)).collect()) == list(range(len(keys)))
+    for none in (rows.where("k is null"), rows.where("t < 0")):
+        assert [r.row_pos for r in select.with_total_position(none, "k", ("t",)).collect()] == list(range(none.count()))
