@@ -15,6 +15,13 @@ def normalize(v: Column, least: float = 1e-12) -> Column:
     return F.transform(v, lambda x: x.cast("double") / norm)
 
 
+def rounded(x: Column, digits: int) -> Column:
+    """A double as SQL rounds it: the product with the power of ten, halves away from zero; negative values keep their sign, down to -0.0."""
+    scale = F.lit(10.0**digits)
+    scaled = F.abs(x * scale)
+    return F.when(scaled < float("inf"), F.signum(x) * F.round(scaled) / scale).otherwise(x)
+
+
 def position_of(ids: Column, wanted: Column) -> Column:
     """From 0; -1 if absent."""
     return F.array_position(ids, wanted).cast("int") - 1
