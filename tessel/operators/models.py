@@ -43,13 +43,25 @@ def formula_weights(latents: int = 128, dims: int = 64) -> np.ndarray:
 
 
 def sparse_encode(rows: DataFrame, key: str, vector: str, weights: np.ndarray, k: int, bias: np.ndarray | None = None, pre_bias: np.ndarray | None = None) -> DataFrame:
-    """key + (top_acts, top_indices): the k largest of max((vector - pre_bias) weights + bias, 0), ties to the lower id; rows without a vector are left out."""
+    """key + (top_acts, top_indices): the k largest of max((vector - pre_bias) weights + bias, 0), ties to the lower id; rows without a vector are left out.
+
+    A matrix product finds the latents that may be among the k largest; theirs is then summed in the order of the
+    dimensions, so neither the batch nor the library decides which of two nearly equal ones comes first.
+    """
     add, less = (np.zeros(n) if x is None else x for x, n in ((bias, len(weights)), (pre_bias, weights.shape[1])))
+    most, least = np.abs(weights).max(), min(k, len(weights))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                acts = np.maximum((np.stack(pdf[vector]).astype(np.float64) - less) @ weights.T + add, 0)
+                x = np.stack(pdf[vector]).astype(np.float64) - less
+                acts = np.maximum(x @ weights.T + add, 0)
+                error = 4 * np.finfo(float).eps * x.shape[1] * (np.abs(x).sum(1) * most + np.abs(add).max())
+                row, latent = np.nonzero(acts >= (np.partition(acts, -least, axis=1)[:, -least] - error)[:, None])
+                total = np.zeros(len(row))
+                for i in range(x.shape[1]):
+                    total += x[row, i] * weights[latent, i]
+                acts[row, latent] = np.maximum(total + add[latent], 0)
                 top = np.argsort(-acts, axis=1, kind="stable")[:, :k]
                 yield pd.DataFrame({key: pdf[key], "top_acts": list(np.take_along_axis(acts, top, 1)), "top_indices": list(top.astype(np.float64))})
 
